@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrille.llm import token_files, url_filters
+from quadrille.llm import decontamination, token_files, url_filters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_url_filters": url_filters.query, "op7_token_files": token_files.query}
+    return {"op3_url_filters": url_filters.query, "op6_decontamination": decontamination.query, "op7_token_files": token_files.query}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": url_filters.SQL}
+    return {"op3_url_filters": url_filters.SQL, "op6_decontamination": decontamination.SQL}
