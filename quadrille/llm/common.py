@@ -86,11 +86,9 @@ def lookup(rows: DataFrame, classes: DataFrame, key: str, size: str, total: int)
     Classes of at least total / HOT_SHARE rows are at most HOT_SHARE in number, and are broadcast;
     so in the shuffled join no key holds more than that share. Null keys match nothing."""
     floor = max(1000, total // HOT_SHARE)
-    hot = classes.where(F.col(size) >= floor).limit(HOT_SHARE + 1)
+    hot = classes.where(F.col(size) >= floor)
     cold = classes.where(F.col(size) < floor)
     values = [c for c in classes.columns if c != key]
     found = rows.join(F.broadcast(hot.select(F.col(key).alias("_k"), F.struct(*values).alias("_hot"))), F.col(key) == F.col("_k"), "left").drop("_k")
-    # rows of a hot class are spread by a null-free random key that no cold class has
-    found = found.withColumn("_j", F.when(F.col("_hot").isNull(), F.col(key)))
-    missed = found.where(F.col("_hot").isNull()).drop("_hot").join(cold.select(F.col(key).alias("_k"), *values), F.col("_j") == F.col("_k"), "left").drop("_k", "_j")
+    missed = found.where(F.col("_hot").isNull()).drop("_hot").join(cold.select(F.col(key).alias("_k"), *values), F.col(key) == F.col("_k"), "left").drop("_k")
     return found.where(F.col("_hot").isNotNull()).select(*rows.columns, *[F.col(f"_hot.{v}").alias(v) for v in values]).unionByName(missed.select(*rows.columns, *values))

@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrille.llm import decontamination, token_files, url_filters
+from quadrille.llm import decontamination, media, token_files, url_filters, warc
+
+_MODULES = {
+    "op3_url_filters": url_filters,
+    "op6_decontamination": decontamination,
+    "op7_token_files": token_files,
+    "op9_media": media,
+    "op10_warc": warc,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_url_filters": url_filters.query, "op6_decontamination": decontamination.query, "op7_token_files": token_files.query}
+    return {name: m.query for name, m in _MODULES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": url_filters.SQL, "op6_decontamination": decontamination.SQL}
+    return {name: m.SQL for name, m in _MODULES.items() if hasattr(m, "SQL")}
