@@ -59,7 +59,7 @@ def write_atomically(uri: str, chunks: Iterable[bytes]) -> int:
     fs.create_dir(os.path.dirname(path), recursive=True)
     part = f"{path}.{uuid.uuid4().hex[:8]}.part"
     size = 0
-    with fs.open_output_stream(part) as out:
+    with fs.open_output_stream(part, compression=None) as out:
         for x in chunks:
             out.write(x)
             size += len(x)
