@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrille.llm import decontamination, media, mixing, token_files, toxicity, url_filters, warc
+from quadrille.llm import decontamination, media, mixing, quality, token_files, toxicity, url_filters, warc
 
 _MODULES = {
     "op3_url_filters": url_filters,
     "op4_toxicity": toxicity,
+    "op5_quality": quality,
     "op6_decontamination": decontamination,
     "op7_token_files": token_files,
     "op8_mixing": mixing,
