@@ -1,6 +1,6 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are a text's words, after lower-casing A-Z, and the first 4, 5 and 6 bytes of longer words, hashed to
+Terms are a text's words, after lower-casing A-Z, and the first 4 to 8 bytes of longer words, hashed to
 2^20 places. score = sigmoid(bias + sum of weights + sum over pairs of present terms of the inner product of
 their factors), so a pair of terms can weigh more, or less, than both alone. The model is fitted on at most
 `sample` labelled rows, those of the least hash of their id; terms enter it by a test of their
@@ -25,12 +25,12 @@ from quadrille.llm.common import map_arrow
 from quadrille.llm.words import NOT_ALNUM, Words, groups, mix, utf8, words_of
 
 BITS = 20
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE = 12_000
 FACTORS = 8
 #: Terms of the model, at most, and their least standard score.
-TERMS, Z = 4096, 4.0
+TERMS, Z = 4096, 3.0
 
 
 def _terms(texts: Sequence[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -84,16 +84,16 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def fit(docs: Sequence[np.ndarray], labels: np.ndarray, epochs: int = 60, rate: float = 0.15, decay: float = 1e-4, seed: int = 7) -> Machine:
+def fit(docs: Sequence[np.ndarray], labels: np.ndarray, epochs: int = 200, rate: float = 0.1, decay: float = 1e-5, seed: int = 7) -> Machine:
     """docs: each one's distinct terms."""
     n, ones = len(docs), float(labels.sum())
     if n == 0 or ones in (0, n):
         p = ones / n if n else 0.5
         return Machine(np.empty(0, np.int64), float(np.log((p + 1e-6) / (1 - p + 1e-6))), np.empty(0), np.empty((0, FACTORS)))
-    doc = np.repeat(np.arange(n), [len(d) for d in docs])
-    term = np.concatenate(docs).astype(np.int64)
-    in_ones = np.bincount(term, labels[doc], 1 << BITS)
-    every = np.bincount(term, minlength=1 << BITS)
+    every, in_ones = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for d, y in zip(docs, labels.tolist(), strict=True):
+        every[d] += 1
+        in_ones[d] += y
     p = every / n
     z = (in_ones / ones - (every - in_ones) / (n - ones)) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / ones + 1 / (n - ones)))
     z[every < 3] = 0
@@ -101,25 +101,25 @@ def fit(docs: Sequence[np.ndarray], labels: np.ndarray, epochs: int = 60, rate:
     terms = terms[np.abs(z[terms]) >= Z]
     place = np.full(1 << BITS, -1, np.int64)
     place[terms] = np.arange(len(terms))
-    keep = place[term] >= 0
-    doc, term = doc[keep], place[term[keep]]
+    known = [place[d][place[d] >= 0] for d in docs]
+    doc, term = np.repeat(np.arange(n), [len(k) for k in known]), np.concatenate(known)
     m, rng = len(terms), np.random.default_rng(seed)
     model = Machine(terms, float(np.log(ones / (n - ones))), np.zeros(m), rng.normal(0, 0.02, (m, FACTORS)))
-    sq_b, sq_w, sq_v = 1.0, np.full(m, 1e-2), np.full((m, FACTORS), 1e-2)
-    for _ in range(epochs):  # AdaGrad on the whole sample: the same result each time
+    sq_b, sq_w, sq_v = 1e-8, np.full(m, 1e-8), np.full((m, FACTORS), 1e-8)
+    for epoch in range(2 * epochs):  # AdaGrad on the whole sample: the same result each time; the weights go before the factors
         s = [np.bincount(doc, model.factors[term, f], n) for f in range(FACTORS)]
         g = (1 / (1 + np.exp(-np.clip(model.raw(doc, term, n), -30, 30))) - labels) / n
         gb = g.sum()
         gw = np.bincount(term, g[doc], m) + decay * model.weights
         sq_b += gb * gb
         sq_w += gw * gw
-        for f in range(FACTORS):
+        for f in range(FACTORS if epoch >= epochs else 0):
             v = model.factors[:, f]
             gv = np.bincount(term, g[doc] * (s[f][doc] - v[term]), m) + decay * v
             sq_v[:, f] += gv * gv
-            model.factors[:, f] = v - 0.1 * rate * gv / np.sqrt(sq_v[:, f]) * 1.0
+            model.factors[:, f] = v - 0.1 * rate * gv / np.sqrt(sq_v[:, f])
         model.bias -= rate * gb / np.sqrt(sq_b)
-        model.weights -= rate * gw / np.sqrt(sq_w) * 10
+        model.weights -= rate * gw / np.sqrt(sq_w)
     return model
 
 
@@ -143,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "d
             yield pa.RecordBatch.from_arrays([b.column("_id").cast(pa.string()), b.column("_y"), pa.array(found, pa.binary())], names=["id", "y", "terms"])
 
     got = sorted((r["id"], r["y"], bytes(r["terms"])) for r in map_arrow(rows, each, "id string, y double, terms binary").limit(2 * sample).toLocalIterator())
-    return fit([np.frombuffer(t, "<i4").astype(np.int64) for _, _, t in got], np.array([y for _, y, _ in got]))
+    return fit([np.frombuffer(t, "<i4") for _, _, t in got], np.array([y for _, y, _ in got]))
 
 
 def score(docs: DataFrame, model: Machine, text: str = "text") -> DataFrame:
