@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrille.llm import decontamination, jaccard_join, media, mixing, quality, token_files, toxicity, url_filters, warc
+from quadrille.llm import decontamination, html_extraction, jaccard_join, media, mixing, quality, token_files, toxicity, url_filters, warc
 
 _MODULES = {
     "op1_jaccard_join": jaccard_join,
+    "op2_html_extraction": html_extraction,
     "op3_url_filters": url_filters,
     "op4_toxicity": toxicity,
     "op5_quality": quality,
