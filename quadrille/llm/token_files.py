@@ -16,8 +16,11 @@ the tasks write under names that follow from the partition, and rename, so that
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -35,41 +38,120 @@ FRAME_IDS = 1 << 16
 #: Bytes of input in a file, about.
 FILE_BYTES = 64 << 20
 #: Chunks of text that a task remembers with their ids.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 600_000
+
+
+_PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?#$%&*|]*)")
 
 
 class Encoder:
     """The tokenizers library, called once for each new chunk between spaces or line ends.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its chunks.
-    That holds for tokenizers that split at white space and drop it; `whole` encodes others."""
+    The tokenizer drops white space, never joins across it and folds case, so a text's ids are those of its
+    chunks, and a plain word's, with marks after it, those of the word and of the marks. That holds for
+    tokenizers that split at white space, drop it, fold case and set marks apart; `whole` encodes others.
+    New chunks are encoded many at once, with a special token between them, at which the library cuts."""
 
     def __init__(self, path: str, whole: bool = False):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.whole = Tokenizer.from_file(path), whole
+        special = [(i, t.content) for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items()) if t.special]
+        self.cut_id, self.cut = special[-1] if special else (None, "")
+        # ids that end a word, in vocabularies that mark them
+        self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.flat, self.starts = array("I"), array("q", [0])
+
+    def _keep(self, chunk: str, ids) -> None:
+        self.known[chunk] = len(self.starts) - 1
+        self.flat.extend(ids)
+        self.starts.append(len(self.flat))
+
+    def _library(self, chunks: list[str]) -> None:
+        for i in range(0, len(chunks), 256):
+            part = chunks[i : i + 256]
+            if self.cut_id is None or any(self.cut[:2] in c for c in part):
+                for e, c in zip(self.tokenizer.encode_batch_fast(part, add_special_tokens=False), part, strict=True):
+                    self._keep(c, e.ids)
+                continue
+            ids = np.array(self.tokenizer.encode(self.cut.join(part), add_special_tokens=False).ids, np.uint32)
+            edges = [-1, *np.flatnonzero(ids == self.cut_id).tolist(), len(ids)]
+            for c, a, b in zip(part, edges[:-1], edges[1:], strict=True):
+                self._keep(c, ids[a + 1 : b].tolist())
+
+    def _words(self, words: list[str]) -> None:
+        """Of words that the tokenizer never divides before it looks for pieces: cut where an id ends a word."""
+        for i in range(0, len(words), 512):
+            part = words[i : i + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(part) or (ends[-1] if len(ends) else 0) != len(ids):
+                self._library(part)
+                continue
+            base, first = len(self.flat), len(self.starts) - 1
+            self.flat.extend(ids.tolist())
+            self.starts.extend((ends + base).tolist())
+            self.known.update(zip(part, range(first, first + len(part)), strict=True))
 
     def _learn(self, chunks: list[str]) -> None:
-        for e, c in zip(self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False), chunks, strict=True):
-            self.known[c] = len(self.ids)
-            self.ids.append(np.array(e.ids, np.uint32))
+        hard: list[str] = []
+        plain: list[tuple[str, str, str]] = []
+        match = _PLAIN.fullmatch
+        for c in chunks:
+            if m := match(c.lower()):
+                plain.append((c, *m.groups()))
+            else:
+                hard.append(c)
+        known = self.known
+        self._library([x for x in {*hard, *(p[2] for p in plain if p[2])} if x not in known])
+        self._words([x for x in {p[1] for p in plain} if x not in known])
+        flat, starts = self.flat, self.starts
+        for c, w, marks in plain:
+            if c not in known:
+                k = known[w]
+                if marks:
+                    j = known[marks]
+                    flat.extend(flat[starts[k] : starts[k + 1]])
+                    flat.extend(flat[starts[j] : starts[j + 1]])
+                    known[c] = len(starts) - 1
+                    starts.append(len(flat))
+                else:
+                    known[c] = k
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         if self.whole:
             return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
         if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-            self.ids.clear()
-        out = []
-        for t in texts:
-            chunks = t.replace("\n", " ").split(" ") if t else []
-            if new := {c for c in chunks if c not in self.known}:
-                self._learn(sorted(new))
-            found = list(map(self.known.__getitem__, chunks))
-            out.append(np.concatenate([self.ids[i] for i in found]) if found else np.empty(0, np.uint32))
-        return out
+            self._forget()
+        get = self.known.get
+        chunks = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+        if new := {c for x in chunks for c in x if c not in self.known}:
+            self._learn(list(new))
+        found = [np.array(list(map(get, x)), np.int64) for x in chunks]
+        counts = [len(x) for x in found]
+        at = np.concatenate(found) if found else np.empty(0, np.int64)
+        starts, flat = np.array(self.starts), np.frombuffer(self.flat, np.uint32) if len(self.flat) else np.empty(0, np.uint32)
+        first, size = starts[at], starts[at + 1] - starts[at]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        ids = flat[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
+        edges = ends[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
+        return [ids[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+
+
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+
+
+def encoder(path: str, whole: bool = False) -> Encoder:
+    """One in each Python worker, which goes from task to task."""
+    if (path, whole) not in _ENCODERS:
+        _ENCODERS[path, whole] = Encoder(path, whole)
+    return _ENCODERS[path, whole]
 
 
 def file_bytes(docs: Iterator[tuple[int | None, np.ndarray]], level: int = 3) -> tuple[list[bytes], int, int]:
@@ -167,13 +249,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder = Encoder(tokenizer, whole)
+        encode = encoder(tokenizer, whole).encode
         end = np.array([] if end_id is None else [end_id], np.uint32)
 
         def each() -> Iterator[tuple[int | None, np.ndarray]]:
             for b in batches:
                 texts = b.column("text").to_pylist()
-                for key, ids in zip(b.column("id").to_pylist(), encoder.encode(texts), strict=True):
+                for key, ids in zip(b.column("id").to_pylist(), encode(texts), strict=True):
                     yield key, np.concatenate((ids, end))
 
         chunks, n, total = file_bytes(each())
