@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.engine import query
-from quadrille.sources.mapping import warehouse
+from quadrille.sources.mapping import MappedSource, warehouse
 
 
 @dataclass(frozen=True)
@@ -172,9 +172,20 @@ ENTRIES: dict[str, Entry] = {
 }
 
 
+_OPEN: dict[tuple[str, str, bool], MappedSource] = {}
+
+
+def opened(spark: SparkSession, sf_dir: str, tags: bool) -> MappedSource:
+    """The view over a folder, opened once in a session: it holds schemas, no rows."""
+    key = (spark.sparkContext.applicationId, sf_dir, tags)
+    if key not in _OPEN:
+        _OPEN[key] = warehouse(spark, sf_dir, tag_documents=tags)
+    return _OPEN[key]
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     e = ENTRIES[name]
-    df = query(spark, warehouse(spark, sf_dir, tag_documents=e.tags), _p(e.sparql))
+    df = query(spark, opened(spark, sf_dir, e.tags), _p(e.sparql))
     for c in e.rounded:
         c, _, places = c.partition(":")
         df = df.withColumn(c, F.round(c, int(places or 2)))

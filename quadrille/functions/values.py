@@ -10,8 +10,10 @@ others are native columns, so that filters on typed tables stay plain comparison
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,8 +77,6 @@ def constant(t: Term) -> Val:
         return Val("iri", F.lit(t.value))
     if not isinstance(t, Literal):
         return Val("term", F.lit(t.spelled()))
-    import re
-
     lex, dt = t.lexical, (t.datatype or "").removeprefix(XSD)
     if t.lang is None and dt in ("", "string"):
         return Val("str", F.lit(lex))
@@ -88,6 +88,11 @@ def constant(t: Term) -> Val:
         return Val("dbl", F.lit(float(lex.replace("INF", "inf"))))
     if dt == "boolean" and lex in ("true", "false", "0", "1"):
         return Val("bool", F.lit(lex in ("true", "1")))
+    if dt == "dateTime" and re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}T(?!24)[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?", lex):
+        try:
+            return Val("ts", F.lit(datetime.fromisoformat(lex).isoformat()).cast("timestamp_ntz"))
+        except ValueError:
+            pass
     return Val("term", F.lit(t.spelled()))
 
 
