@@ -23,7 +23,7 @@ def _unescaped(text: Column) -> Column:
 
     def one(x: Column) -> Column:
         def code(n: int) -> Column:
-            return F.decode(F.unhex(F.lpad(F.substring(x, 3, n), 8, "0")), "UTF-32BE")
+            return F.decode(F.unhex(F.lpad(F.substring(x, 3, n), 8, "0")), "utf-32")
 
         return F.when(x.rlike(r"^\\u[0-9A-Fa-f]{4}"), F.concat(code(4), F.substring(x, F.lit(7), F.length(x)))).when(x.rlike(r"^\\U[0-9A-Fa-f]{8}"), F.concat(code(8), F.substring(x, F.lit(11), F.length(x)))).otherwise(x)
 
