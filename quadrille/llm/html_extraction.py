@@ -36,6 +36,8 @@ from quadrille.llm.url_filters import host_and_path
 SALTS = 16
 #: Longest body of a repeated group, in tokens.
 PERIOD = 24
+#: Elements nested deeper leave no trace in a wrapper; their text is read as any other.
+DEPTH = 100
 
 # Elements of HTML, and common names of parts of pages.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -160,6 +162,7 @@ def summary(page: str) -> tuple[list, dict[str, list[int]]]:
     """The folded stream, and of each slot's path [characters, characters in links, a hash of its text]."""
     out: list = []
     slots: dict[str, list] = {}
+    depth = 0
     for event, what, path, link in read(page):
         if event == "#":
             if not what.strip():
@@ -171,8 +174,13 @@ def summary(page: str) -> tuple[list, dict[str, list[int]]]:
             if not out or out[-1] != "#":
                 out.append("#")
         elif event in "<>":
-            out.append(event + what)
-        fold(out)
+            # what is nested deeper than any template gives no structure
+            depth += event == "<"
+            if depth <= DEPTH:
+                out.append(event + what)
+            depth -= event == ">"
+        if depth <= DEPTH:
+            fold(out)
     return out, slots
 
 
@@ -210,41 +218,70 @@ def _balanced(s: list) -> bool:
     return depth == 0
 
 
-def _label(x) -> str:
-    return x if isinstance(x, str) else x[0] + _label(x[1][0]) if x[1] else x[0]
+def _units(s: list) -> list[tuple[str, list]]:
+    """Elements with all that is in them, text slots, and groups: (how often: 1, ? or +, body)."""
+    out: list[tuple[str, list]] = []
+    depth = 0
+    for x in s:
+        if depth:
+            out[-1][1].append(x)
+        elif isinstance(x, list):
+            out.append((x[0], x[1]))
+            continue
+        else:
+            out.append(("1", [x]))
+        if isinstance(x, str) and x[0] in "<>":
+            depth = max(0, depth + (1 if x[0] == "<" else -1))
+    return out
+
+
+def _label(body: list) -> str:
+    """What the unit begins with."""
+    while body and isinstance(body[0], list):
+        body = body[0][1]
+    return body[0] if body else ""
+
+
+def _one_element(body: list) -> bool:
+    return len(body) > 1 and isinstance(body[0], str) and body[0][0] == "<" and len(_units(body)) == 1
 
 
 def align(a: list, b: list) -> list:
-    """A wrapper that both match: common parts, aligned groups, and optional groups for the rest."""
+    """A wrapper that both match: common parts, aligned within, and optional groups for the rest."""
     if a == b:
         return a
-    # an optional or repeated group is met by what it begins with
-    u, v = [_label(x).lstrip("?+") for x in a], [_label(x).lstrip("?+") for x in b]
+    u, v = _units(a), _units(b)
     out: list = []
 
-    def option(s: list) -> None:
-        for x in s:
-            if isinstance(x, list) and x[0] == "?":
-                out.append(x)
-            elif out and isinstance(out[-1], list) and out[-1][0] == "?" and out[-1][2:] == ["open"]:
-                out[-1][1].append(x)
+    def optional(units: list[tuple[str, list]]) -> None:
+        held: list = []
+        for kind, body in units:
+            if kind == "?":
+                if held:
+                    out.append(["?", held])
+                    held = []
+                out.append(["?", body])
             else:
-                out.append(["?", [x], "open"])
-        if out and isinstance(out[-1], list):
-            del out[-1][2:]
+                held += body if kind == "1" else [[kind, body]]
+        if held:
+            out.append(["?", held])
 
-    for op, i, j, k, m in SequenceMatcher(None, u, v, autojunk=False).get_opcodes():
+    for op, i, j, k, m in SequenceMatcher(None, [_label(x[1]) for x in u], [_label(x[1]) for x in v], autojunk=False).get_opcodes():
         if op != "equal":
-            option(a[i:j])
-            option(b[k:m])
+            optional(u[i:j])
+            optional(v[k:m])
             continue
-        for x, y in zip(a[i:j], b[k:m], strict=True):
-            if x == y:
-                out.append(x)
-            elif isinstance(x, str) or isinstance(y, str):
-                out.append(x if isinstance(x, list) else y)  # once, or a group: the group
+        for (p, x), (q, y) in zip(u[i:j], v[k:m], strict=True):
+            if x == y or x[0] == "#" or y[0] == "#" or not x or not y:
+                body = x
+            elif _one_element(x) and _one_element(y):
+                body = [x[0], *align(x[1:-1], y[1:-1]), x[-1]]
+            elif len(_units(x)) == len(_units(y)) == 1:
+                body = x
             else:
-                out.append(["+" if "+" in (x[0], y[0]) else "?", align(x[1], y[1])])
+                body = align(x, y)
+            kind = "+" if "+" in (p, q) else "?" if "?" in (p, q) else "1"
+            out += body if kind == "1" else [[kind, body]]
     return out
 
 
