@@ -31,7 +31,8 @@ from quadrille.llm.words import NOT_ALNUM, utf8, words_of
 
 WINDOW = 13
 SHARD_WORDS = 200_000
-_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Of texts whose A-Z are not folded.
+_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 class Automaton:
