@@ -12,8 +12,8 @@ kept blocks are the join's keys. A document joins in its own band and in those o
 Candidates are thinned by sizes and by a second sketch, of SKETCH_BITS parity bits, whose Hamming distance
 cannot be above the symmetric difference; then whole sets are compared.
 
-Equal sets become one class first. Of the documents that share a key only the pairs with three pivots
-are compared; those link most of a group of near copies at once. Then all remaining pairs that share a
+Equal sets become one class first. Of the documents that share a key only the pairs with two pivots, the
+least and the greatest id, are compared; those link most of a group of near copies at once. Then all remaining pairs that share a
 key, lie in different components and were not compared yet are compared, so no component is missed.
 
 Null and empty texts have the empty set, link with nothing and are components of their own. Rows that
@@ -43,7 +43,7 @@ def _bands(percent: int) -> tuple[list[int], list[int]]:
     """First sizes of the bands, up to 2^40, and the largest symmetric difference of a pair whose smaller set is in the band."""
     first = [1]
     while first[-1] < 1 << 40:
-        first.append(max(first[-1] + 1, -(-first[-1] * 100 // percent)))
+        first.append(max(first[-1] + 1, -(-first[-1] * 100 // percent), first[-1] * 5 // 4))
     # as the larger set has at most 100 / percent times the smaller one's shingles
     most = [(top - 1) * (100 - percent) // percent for top in first[1:]]
     return first, most
@@ -81,26 +81,38 @@ def parity(s: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int, percent: int, id: str, text: str) -> DataFrame:
-    """(id, n, sid, keys, parity) of each document."""
+    """(id, n, sid, parity) of each document; sid names its set."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("id")
             for a, z, bounds, h in words_of(utf8(b.column("text")), WHITE):
-                n, sid, keys, bits = [], [], [], []
+                n, sid, bits = [], [], []
                 for s in shingles(h, bounds, width):
                     n.append(len(s))
                     m = mix(s + _U(0x632BE59BD9B4E019))
                     sid.append(np.array([s.sum(dtype=_U), m.sum(dtype=_U) ^ _U(len(s))]).tobytes() if len(s) else None)
-                    keys.append(join_keys(s, percent).view(np.int64))
                     bits.append(parity(s))
-                lengths = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, z - a), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(keys), pa.int64())), pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * (SKETCH_BITS // 64), pa.int32()), pa.array(np.concatenate(bits), pa.int64()))],
-                    names=["id", "n", "sid", "keys", "parity"],
+                    [ids.slice(a, z - a), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * (SKETCH_BITS // 64), pa.int32()), pa.array(np.concatenate(bits), pa.int64()))],
+                    names=["id", "n", "sid", "parity"],
                 )
 
-    return map_arrow(docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")), each, "id long, n long, sid binary, keys array<long>, parity array<long>")
+    return map_arrow(docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")), each, "id long, n long, sid binary, parity array<long>")
+
+
+def key_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(key, id) of documents (id, text). The keys are several times the sketches' size, so they are made again where they are read, and not stored."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("id")
+            for a, z, bounds, h in words_of(utf8(b.column("text")), WHITE):
+                keys = [join_keys(s, percent).view(np.int64) for s in shingles(h, bounds, width)]
+                lengths = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(keys), pa.int64())), ids.slice(a, z - a)], names=["keys", "id"])
+
+    return map_arrow(docs.select("id", "text"), each, "keys array<long>, id long").select(F.explode("keys").alias("key"), "id")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, id: str, text: str) -> DataFrame:
@@ -158,13 +170,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id: s
     every = stored(sketches(docs, width, percent, id, text), "jaccard-sketches")
     total = every.count()
     # one row for each distinct set; the least id stands for all
-    one = every.where("n > 0 and id is not null").groupBy("sid").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "n", "keys", "parity")).alias("r"))
+    one = every.where("n > 0 and id is not null").groupBy("sid").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "n", "parity")).alias("r"))
     classes = stored(one.select("sid", "copies", "r.*"), "jaccard-classes")
-    named = lookup(every.select("id", "n", "sid"), classes.select("sid", "copies", F.col("id").alias("rep")), "sid", "copies", total).select("id", "n", F.coalesce("rep", "id").alias("rep"))
-
-    rows = classes.select(F.explode("keys").alias("key"), "id")
-    mixed = F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("id"))
-    pivots = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("p1"), F.min(mixed).alias("m2"), F.max(mixed).alias("m3")).where("size > 1").select("key", "size", "p1", F.col("m2.id").alias("p2"), F.col("m3.id").alias("p3")), "jaccard-pivots")
+    named = stored(lookup(every.select("id", "n", "sid"), classes.select("sid", "copies", F.col("id").alias("rep")), "sid", "copies", total).select("id", "n", F.coalesce("rep", "id").alias("rep")), "jaccard-named")
+
+    # keys of the classes' own documents; the others are left out, by a list of them if it is short
+    texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    copies = named.where("rep <> id or n = 0").select("id").join(classes.select("id"), "id", "left_anti")
+    if copies.count() * 32 <= BROADCAST_LIMIT_BYTES:
+        texts = texts.where("id is not null").join(F.broadcast(copies), "id", "left_anti")
+    else:
+        texts = texts.join(classes.select("id"), "id", "left_semi")
+    rows = key_rows(texts, width, percent)
+    pivots = stored(rows.groupBy("key").agg(F.min("id").alias("p1"), F.max("id").alias("p2")).where("p1 < p2"), "jaccard-pivots")
     small = pivots.count() * 48 <= BROADCAST_LIMIT_BYTES // 2
     members = stored(rows.join(F.broadcast(pivots) if small else pivots, "key"), "jaccard-members")
     sizes = classes.select("id", "n", "parity")
@@ -174,7 +192,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id: s
             pairs = pairs.join(sizes.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("parity").alias(f"p{side}")), side)
         return pairs
 
-    met = members.select("id", F.explode(F.array_distinct(F.array("p1", "p2", "p3"))).alias("p")).where("id <> p").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
+    met = members.select("id", F.explode(F.array("p1", "p2")).alias("p")).where("id <> p").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
     tested = stored(_possible(measured(met), percent).select("a", "b"), "jaccard-pairs")
     links = _verified(tested, docs, width, percent, id, text)
     # an id that repeats with other texts joins its classes
@@ -183,7 +201,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id: s
     found = components(links.unionByName(again))
 
     # what the pivots left: keys whose documents lie in several components
-    open_ = members.where("size > 2").select("key", "id").join(found.select("id", F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
+    open_ = members.select("key", "id").join(found.select("id", F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
     unsettled = open_.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("key")
     left = stored(open_.join(unsettled, "key", "left_semi").join(sizes, "id"), "jaccard-left")
     if left.limit(1).count():
