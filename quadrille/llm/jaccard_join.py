@@ -210,8 +210,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id: s
         links = stored(links.unionByName(_verified(stored(fresh, "jaccard-pairs"), docs, width, percent, id, text)), "jaccard-links")
         found = components(links.unionByName(again))
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
-    known = found.withColumnRenamed("id", "rep").join(degree, "rep", "left")
-    out = lookup(named.withColumn("rep_", F.col("rep")), stored(known.withColumn("copies", F.lit(1)), "jaccard-found"), "rep", "copies", 1 << 62)
+    known = found.join(classes.select("id", "copies"), "id").withColumnRenamed("id", "rep").join(degree, "rep", "left")
+    out = lookup(named.withColumn("rep_", F.col("rep")), stored(known, "jaccard-found"), "rep", "copies", total)
     return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.coalesce("component", "rep_").alias("component_id"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
