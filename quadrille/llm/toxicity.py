@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.llm.common import map_arrow
-from quadrille.llm.words import NOT_ALNUM, Words, groups, mix, utf8, words_of
+from quadrille.llm.words import NOT_ALNUM, Words, groups, mix, pieces, utf8
 
 BITS = 20
 PREFIXES = (4, 5, 6, 7, 8)
@@ -41,14 +41,14 @@ def _terms(texts: Sequence[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.
         part = [t or b"" for t in texts[a:b]]
         n = b - a
         if n == 1 and len(part[0]) > 1 << 20:
-            pieces = [part[0][i : i + (1 << 20)] for i in range(0, len(part[0]), 1 << 20)]  # words at the cuts are split: two of about 200,000
+            cut = list(pieces(part[0], NOT_ALNUM))
         else:
-            pieces = [gap.join(part)]
+            cut = [gap.join(part)]
         codes = []
         offsets = np.cumsum([0] + [len(t) + 1 for t in part])
-        for piece in pieces:
+        for piece in cut:
             w = Words(piece, NOT_ALNUM)
-            doc = np.searchsorted(offsets, w.starts, "right") - 1 if len(pieces) == 1 else np.zeros(len(w.starts), np.int64)
+            doc = np.searchsorted(offsets, w.starts, "right") - 1 if len(cut) == 1 else np.zeros(len(w.starts), np.int64)
             length = w.ends - w.starts
             codes.append((doc << BITS) | (w.hashes >> shift).astype(np.int64))
             for k in PREFIXES:

@@ -80,7 +80,7 @@ class Words:
         return self._hash(np.minimum(self.starts + n, self.ends))
 
 
-def _long(text: bytes, sep: np.ndarray) -> Iterator[bytes]:
+def pieces(text: bytes, sep: np.ndarray) -> Iterator[bytes]:
     """Pieces of one long text, cut before a separator."""
     at = 0
     while len(text) - at > PIECE:
@@ -116,7 +116,7 @@ def words_of(texts: Sequence[bytes | None], sep: np.ndarray) -> Iterator[tuple[i
     for a, b in groups(texts):
         part = [t or b"" for t in texts[a:b]]
         if b - a == 1 and len(part[0]) > PIECE:
-            hashes = np.concatenate([Words(x, sep).hashes for x in _long(part[0], sep)])
+            hashes = np.concatenate([Words(x, sep).hashes for x in pieces(part[0], sep)])
             yield a, b, np.array([0, len(hashes)]), hashes
             continue
         w = Words(gap.join(part), sep)
