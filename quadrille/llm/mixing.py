@@ -7,6 +7,9 @@ words [r * block, (r + 1) * block) of the source's documents, shuffled by a hash
 over; the last block is cut where the target is reached, and slots beyond that are void. So each source gets
 its target to a word, spread evenly over the schedule, and no document is taken more than `most` times.
 
+mix_plan() has the words of each document that each slot takes. mix_documents() keeps the words of a document
+together: a row stands at the slot of its first word, and rows are sorted by slot.
+
 Word: [^\\x20\\x09-\\x0D]+. Null and empty texts have no words and are not taken. The null source is a source,
 the last. Rows that repeat an id are documents of their own; their order follows size and text. No rows, or
 rows without words, give targets of 0. Other columns stay in mix_documents(), and are left out of mix_plan().
@@ -18,8 +21,10 @@ all rows is spread over as many tasks as its rows need.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
+from functools import partial
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -102,60 +107,101 @@ def _positions(docs: DataFrame, id: str, text: str, source: str, seed: str) -> t
     return at.drop("_before", "_b", "_h"), {r["_key"]: r["n"] for r in counted}
 
 
-def _planned(docs: DataFrame, id: str, text: str, source: str, weights: tuple[int, ...], most: int, seed: str, slots: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with _size, _source_size, _target, _full (whole copies) and _part (words of one more); the schedule."""
+def _planned(docs: DataFrame, id: str, text: str, source: str, weights: tuple[int, ...], most: int, seed: str, slots: int) -> tuple[DataFrame, Callable[..., tuple]]:
+    """Rows with _size, _at, _source_size, _target, _first (number of the source's slots before rank 0) and _need (its slots); what joins them with the slots."""
     spark = docs.sparkSession
     at, found = _positions(docs, id, text, source, seed)
     names = sorted(found, key=lambda s: s.encode())
     sizes = [found[s] for s in names]
     goal = targets(sizes, weights, most)
     wanted = [int(round(g)) for g in goal]
-    plan = schedule(wanted, max(1, sum(wanted) // slots))
-    # the words that the source's ranked slots take: its blocks are consecutive, from the stream's start on
-    taken = (plan["end"] - plan["start"]).groupby(plan["source"]).sum().reindex(range(len(names)), fill_value=0) if len(plan) else [0] * len(names)
-    table = spark.createDataFrame([(s, n, float(g), int(t)) for s, n, g, t in zip(names, sizes, goal, taken, strict=True)] or [], "_key string, _source_size long, _target double, _taken long")
+    block = max(1, sum(wanted) // slots)
+    plan = schedule(wanted, block).sort_values(["source", "rank"])
+    need = np.bincount(plan["source"].to_numpy(np.int64), minlength=len(names))[: len(names)]
+    first = np.cumsum(need) - need
+    table = spark.createDataFrame([(s, n, float(g), int(f), int(k)) for s, n, g, f, k in zip(names, sizes, goal, first, need, strict=True)] or [], "_key string, _source_size long, _target double, _first long, _need long")
     rows = at.join(F.broadcast(table) if len(names) <= 100_000 else table, "_key")
-    whole = F.when(F.col("_source_size") > 0, F.floor(F.col("_taken") / F.greatest("_source_size", F.lit(1)))).otherwise(0).cast("long")
-    rows = rows.withColumn("_full", whole).withColumn("_part", F.greatest(F.lit(0).cast("long"), F.least("_size", F.col("_taken") - F.col("_full") * F.col("_source_size") - F.col("_at"))))
-    return rows.drop("_taken"), spark.createDataFrame(plan) if len(plan) else spark.createDataFrame([], "slot long, source long, rank long, start long, end long")
+    return rows, partial(_pieces, block, *(plan[c].to_numpy(np.int64) for c in ("slot", "start", "end")))
+
+
+def _pieces(block: int, slot: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray, size: np.ndarray, total: np.ndarray, first: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, copy, slot, from, to) of what the slots take of documents, by row, copy and word; from and to are words of the document.
+
+    slot, start, end: of the slots by source and rank. A document of _size words at _at of a stream of total words
+    is met at _at, total + _at, and so on; first and need say where the source's slots are."""
+    some = (size > 0) & (need > 0)
+    stop = np.zeros(len(at), np.int64)  # words of the stream that slots take
+    stop[some] = end[(first + need - 1)[some]]
+    copies = np.zeros(len(at), np.int64)
+    copies[some] = -(-(stop - at)[some] // total[some])
+    copies = np.maximum(copies, 0)
+    row = np.repeat(np.arange(len(at)), copies)
+    copy = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies)
+    low = copy * total[row] + at[row]
+    high = np.minimum(low + size[row], stop[row])
+    rank = low // block
+    n = (high - 1) // block - rank + 1
+    k = np.repeat(np.arange(len(row)), n)
+    i = first[row[k]] + rank[k] + np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
+    return row[k], copy[k], slot[i], np.maximum(low[k], start[i]) - low[k], np.minimum(high[k], end[i]) - low[k]
+
+
+_PLACE = ("_at", "_size", "_source_size", "_first", "_need")
 
 
 def mix_plan(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: str = "mix", slots: int = SLOTS) -> DataFrame:
-    """(id, size, source_size, target, taken, source) of each document."""
+    """(id, size, source_size, target, taken, source, slots) of each document. slots: (slot, start, end), the words of the document that slots take, copy by copy."""
     # only what the plan needs, so that no text is shuffled
-    rows = _planned(docs.select(id, text, source), id, text, source, weights, most, seed, slots)[0]
-    return rows.select(id, F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_full") * F.col("_size") + F.col("_part")).alias("taken"), source)
+    rows, pieces = _planned(docs.select(id, text, source), id, text, source, weights, most, seed, slots)
+    rows = rows.select(id, source, "_target", *_PLACE)
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, _, slot, start, end = pieces(*(b.column(c).to_numpy() for c in _PLACE))
+            taken = np.zeros(b.num_rows, np.int64)
+            np.add.at(taken, row, end - start)
+            bounds = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=b.num_rows))))
+            parts = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (slot, start, end)], names=["slot", "start", "end"])
+            found = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), parts)
+            yield pa.RecordBatch.from_arrays([b.column(id), b.column("_size"), b.column("_source_size"), b.column("_target"), pa.array(taken), b.column(source), found], names=["id", "size", "source_size", "target", "taken", "source", "slots"])
 
-def mix_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: str = "mix", slots: int = SLOTS) -> DataFrame:
-    """The mix, with the columns of docs: whole copies, and where a source's last block ends within a document, its words up to there."""
-    rows = _planned(docs, id, text, source, weights, most, seed, slots)[0].select(*docs.columns, "_size", "_full", "_part").where("_size > 0 and (_full > 0 or _part > 0)")
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    out = map_arrow(rows, each, f"id {kinds[id]}, size long, source_size long, target double, taken long, source {kinds[source]}, slots array<struct<slot: long, start: long, end: long>>")
+    return out.withColumnsRenamed({"id": id, "source": source})
 
+
+def mix_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: str = "mix", slots: int = SLOTS) -> DataFrame:
+    """The mix in the order of the schedule, with the columns of docs. A row for each time that slots take of a document, at the slot
+    of its first word: the document, or where the source's last block ends within it, its words up to there."""
+    rows, pieces = _planned(docs, id, text, source, weights, most, seed, slots)
+    rows = rows.select(*docs.columns, *_PLACE)
     names = docs.columns
 
     def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            full, part, size = (b.column(c).to_numpy() for c in ("_full", "_part", "_size"))
-            kept = b.select(names)
-            times = full + (part == size)
-            for k in range(int(times.max(initial=0))):
-                yield kept.filter(pa.array(times > k))
-            cut = np.flatnonzero((part > 0) & (part < size))
-            if len(cut):
-                rows_ = kept.take(pa.array(cut))
-                texts = []
-                for raw, n in zip(utf8(rows_.column(text)), part[cut].tolist(), strict=True):
-                    end = 0
-                    for i, m in enumerate(_WORDS.finditer(raw), 1):
-                        if i == n:
-                            end = m.end()
-                            break
-                    texts.append(raw[:end].decode())
-                i = rows_.schema.names.index(text)
-                yield rows_.set_column(i, text, pa.array(texts, pa.string()))
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return map_arrow(rows, copies, schema)
+            at, size, *place = (b.column(c).to_numpy() for c in _PLACE)
+            row, copy, slot, _, end = pieces(at, size, *place)
+            # the pieces of one copy follow one another: its first says where it stands, its last where it ends
+            new = np.concatenate(([True], (row[1:] != row[:-1]) | (copy[1:] != copy[:-1]))) if len(row) else np.zeros(0, bool)
+            begin = np.flatnonzero(new)
+            row, slot, end = row[begin], slot[begin], np.maximum.reduceat(end, begin) if len(begin) else end
+            turn = copy[begin] if len(begin) else copy
+            # copies one by one, as texts are long
+            for k in range(int(turn.max(initial=-1)) + 1):
+                of = turn == k
+                r, n = row[of], end[of]
+                kept = b.select(names).take(pa.array(r))
+                cut = np.flatnonzero(n < size[r])
+                if len(cut):
+                    texts = kept.column(text).to_pylist()
+                    for j, raw in zip(cut.tolist(), utf8(kept.column(text).take(pa.array(cut))), strict=True):
+                        *_, m = islice(_WORDS.finditer(raw), int(n[j]))
+                        texts[j] = raw[: m.end()].decode()
+                    kept = kept.set_column(names.index(text), text, pa.array(texts, pa.string()))
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(slot[of]), pa.array(k * place[0][r] + at[r])], names=[*names, "_slot", "_from"])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "_slot long, _from long"])
+    return map_arrow(rows, copies, schema).orderBy("_slot", "_from").select(*names)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -375,6 +375,37 @@ def test_mixing(spark):
     assert mixing.mix_plan(docs.limit(0)).count() == 0 and mixing.mix_documents(docs.limit(0)).count() == 0
 
 
+def test_mix_follows_the_schedule(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(words(rng.randint(0, 60), rng)), rng.choice("aaab") if i % 50 else None) for i in range(400)]
+    docs = frame(spark, rows, "doc_id long, text string, source string")
+    got = mixing.mix_plan(docs, slots=300).collect()
+    names = ["a", "b", None]
+    wanted = [sum(r["taken"] for r in got if r["source"] == s) for s in names]
+    block = sum(wanted) // 300
+    plan = mixing.schedule(wanted, block)
+    # each slot is filled by its own source, to its own length
+    filled: dict = {}
+    for r in got:
+        assert r["taken"] == sum(p["end"] - p["start"] for p in r["slots"]) and all(0 <= p["start"] < p["end"] <= r["size"] for p in r["slots"])
+        for p in r["slots"]:
+            source, n = filled.get(p["slot"], (r["source"], 0))
+            assert source == r["source"]
+            filled[p["slot"]] = (source, n + p["end"] - p["start"])
+    assert filled == {p.slot: (names[p.source], p.end - p.start) for p in plan.itertuples()}
+    # rows stand at the slots of their first words: once for each copy
+    starts = sorted((p["slot"], r["doc_id"]) for r in got for p in r["slots"] if p["start"] == 0)
+    mixed = mixing.mix_documents(docs, slots=300).collect()
+    slot_of: dict = {}
+    for slot, i in starts:
+        slot_of.setdefault(i, []).append(slot)
+    met = [slot_of[r["doc_id"]].pop(0) for r in mixed]
+    assert met == sorted(met) and not any(slot_of.values())
+    assert sum(len(r["text"].split()) for r in mixed) == sum(wanted)
+    half = [r["source"] for r in mixed[: len(mixed) // 2]]
+    assert set(half) == set(names)
+
+
 # ---- 9
 
 
