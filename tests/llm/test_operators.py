@@ -147,6 +147,13 @@ def test_wrappers_fold_and_align():
     assert html_extraction.align(both, a) == both
 
 
+def test_hidden_is_an_attribute_name(spark):
+    shown = """<article style="overflow: hidden"><p title="a hidden gem" data-x='b hidden'>one</p><p alt=" class=nav ">two</p><p data-hidden not-hidden=hidden>three</p></article>"""
+    left_out = """<article><p hidden>no</p><p class="x"hidden>no</p><p HIDDEN="">no</p><p title="x" aria-hidden = true>no</p><p id='nav'>no</p><p>yes</p></article>"""
+    rows = frame(spark, [(1, "http://a/1", shown), (2, "http://b/1", left_out)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_extraction.extract(rows).collect()} == {1: "one two three", 2: "yes"}
+
+
 def test_html_of_one_template(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in html_extraction.extract(pages).collect():
