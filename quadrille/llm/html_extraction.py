@@ -6,7 +6,7 @@ another: what both have stays, what one lacks becomes an optional group, groups
 within; so the wrapper is a regular expression without unions, of tags, text slots, `?` and `+`. Its
 slots, with counts over all the host's pages, say where the article is: inside <article>, <main> or
 what is named so; where a page has none of them, the slots whose text varies or repeats in the container with
-the most text outside of links. Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts
+the most text outside of links; pages of a host that are copies of one another count as one in this. Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts
 and styles are left out by their elements, roles, classes and ids.
 
 In the text, character references are decoded, white space inside a block is one space, and blocks are joined
@@ -190,6 +190,14 @@ def hash_of(text: str, before: int) -> int:
     return zlib.crc32(text.strip().encode("utf-8", "surrogatepass"), before)
 
 
+def digest_of(slots: dict[str, list[int]]) -> int:
+    """Of all a page's texts: pages with the same slots and texts are copies, whatever their tags' attributes and comments."""
+    import hashlib
+
+    named = "\n".join(f"{p}\t{n}\t{h}" for p, (n, _, h) in sorted(slots.items()))
+    return int.from_bytes(hashlib.blake2b(named.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def fold(s: list) -> None:
     """If the stream ends in two equal parts, or a repeated group and its body once more, fold them."""
     if not s or not (isinstance(s[-1], str) and s[-1][0] == ">" or isinstance(s[-1], list)):
@@ -316,9 +324,9 @@ def _usable(path: str) -> bool:
 
 
 def content_paths(slots: list[tuple[str, int, int, int, bool]], repeated: set[str]) -> tuple[list[str], list[str]]:
-    """Of slots (path, pages, characters, in links, the same on all pages): those in articles; those to take where a page has no article."""
+    """Of slots (path, pages, characters, in links, the same on all of several different pages): those in articles; those to take where a page has no article."""
     main = [p for p, *_ in slots if _usable(p) and "+" in p]
-    rest = [(p, pages, n, links) for p, pages, n, links, same in slots if _usable(p) and "+" not in p and (p in repeated or not same or pages == 1)]
+    rest = [(p, pages, n, links) for p, pages, n, links, same in slots if _usable(p) and "+" not in p and (p in repeated or not same)]
     weight: dict[str, float] = {}
     for p, _, n, links in rest:
         holder = p.rpartition("/")[0] or p
@@ -368,15 +376,16 @@ def wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
             rows = []
             for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
                 stream, slots = summary(page or "")
-                rows.append((host, json.dumps(stream, ensure_ascii=False), None, 0, 0, 0))
-                rows += [(host, None, p, n, k, h) for p, (n, k, h) in slots.items()]
-            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+                rows.append((host, json.dumps(stream, ensure_ascii=False), None, 0, 0, 0, 0))
+                texts = digest_of(slots)
+                rows += [(host, None, p, n, k, h, texts) for p, (n, k, h) in slots.items()]
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["host", "stream", "path", "n", "links", "h"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["host", "stream", "path", "n", "links", "h", "d"])
 
-    facts = map_arrow(pages.select("host", F.col(html).alias("html")), each, "host string, stream string, path string, n long, links long, h long")
+    facts = map_arrow(pages.select("host", F.col(html).alias("html")), each, "host string, stream string, path string, n long, links long, h long, d long")
     # one pass over the pages: streams that are alike and slots of one path are summed before they move
-    summed = stored(facts.groupBy("host", "stream", "path").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("links").alias("links"), F.min("h").alias("h1"), F.max("h").alias("h2")), "html-facts")
+    summed = stored(facts.groupBy("host", "stream", "path").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("links").alias("links"), F.min("h").alias("h1"), F.max("h").alias("h2"), F.min("d").alias("d1"), F.max("d").alias("d2")), "html-facts")
     streams = summed.where("stream is not null").select("host", "pages", "stream", F.pmod(F.xxhash64("stream"), F.lit(SALTS)).alias("salt"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,7 +415,8 @@ def wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
     order = [F.desc("pages"), "stream"]
     part = map_arrow(streams.repartition("host", "salt").sortWithinPartitions("host", "salt", *order), merge, kind)
     whole = map_arrow(part.withColumn("salt", F.lit(0).cast("long")).repartition("host").sortWithinPartitions("host", *order), merge, kind)
-    slots = summed.where("path is not null").groupBy("host").agg(F.collect_list(F.struct("path", "pages", "n", "links", (F.col("h1") == F.col("h2")).alias("same"))).alias("slots"))
+    # copies of one page don't make its text a template's: only pages that differ somewhere tell what is the same on all
+    slots = summed.where("path is not null").groupBy("host").agg(F.collect_list(F.struct("path", "pages", "n", "links", ((F.col("h1") == F.col("h2")) & (F.col("d1") != F.col("d2"))).alias("same"))).alias("slots"))
     joined = whole.select("host", "pages", F.col("stream").alias("wrapper")).join(slots, "host", "left")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -154,6 +154,14 @@ def test_hidden_is_an_attribute_name(spark):
     assert {r["page_id"]: r["text"] for r in html_extraction.extract(rows).collect()} == {1: "one two three", 2: "yes"}
 
 
+def test_copies_of_a_page_are_one_page(spark):
+    page = "<html><body><h1>Name</h1><div><p>All the text of {0} page.</p></div></body></html>"
+    rows = [(1, "http://a/1", page.format("this")), (2, "http://a/2", page.format("this")), (3, "http://a/3", page.format("this") + "<!-- 3 -->"), (4, "http://b/1", page.format("one")), (5, "http://c/1", page.format("one")), (6, "http://c/2", page.format("one")), (7, "http://c/3", page.format("another"))]
+    got = {r["page_id"]: r["text"] for r in html_extraction.extract(frame(spark, rows, "page_id long, url string, html string")).collect()}
+    alone = "All the text of {0} page."
+    assert got == {1: alone.format("this"), 2: alone.format("this"), 3: alone.format("this"), 4: alone.format("one"), 5: alone.format("one"), 6: alone.format("one"), 7: alone.format("another")}
+
+
 def test_html_of_one_template(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in html_extraction.extract(pages).collect():
