@@ -25,7 +25,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the least id of each group that shingles of five words link at 0.8 or more."""
-    groups = jaccard_join.jaccard_components(docs.select("doc_id", "text"), 5, 80)
+    groups = jaccard_join.jaccard_components(docs.select("doc_id", "text"), 5, 80, links=False)
     kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     return docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
 

@@ -15,6 +15,7 @@ cannot be above the symmetric difference; then whole sets are compared.
 Equal sets become one class first. Of the documents that share a key only the pairs with two pivots, the
 least and the greatest id, are compared; those link most of a group of near copies at once. Then all remaining pairs that share a
 key, lie in different components and were not compared yet are compared, so no component is missed.
+The number of links is counted after that, over all pairs of different sets of a component.
 
 Null and empty texts have the empty set, link with nothing and are components of their own. Rows that
 repeat an id are one document with several texts, in one component. A null id has a null component.
@@ -35,6 +36,9 @@ from quadrille.llm.common import BROADCAST_LIMIT_BYTES, lookup, map_arrow, store
 from quadrille.llm.words import WHITE, mix, shingles, utf8, words_of
 
 SKETCH_BITS = 1024
+#: Sets and their shingles in a block of link_counts(), about; COLUMNS hashes are multiplied at once; a hash that more than DENSE pairs share is.
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 21
+COLUMNS, DENSE = 2048, 64
 _U = np.uint64
 
 
@@ -52,6 +56,8 @@ def _bands(percent: int) -> tuple[list[int], list[int]]:
 def join_keys(s: np.ndarray, percent: int) -> np.ndarray:
     """The keys of a set, given as sorted distinct hashes."""
     n = len(s)
+    if not n:
+        return np.empty(0, _U)
     first, most = _bands(percent)
     low = int(np.searchsorted(first, -(-n * percent // 100), "right")) - 1
     high = int(np.searchsorted(first, n, "right")) - 1
@@ -80,6 +86,11 @@ def parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def name_of(s: np.ndarray) -> bytes | None:
+    """A name of 128 bits of a set; none of the empty one."""
+    return np.array([s.sum(dtype=_U), mix(s + _U(0x632BE59BD9B4E019)).sum(dtype=_U) ^ _U(len(s))]).tobytes() if len(s) else None
+
+
 def sketches(docs: DataFrame, width: int, percent: int, id: str, text: str) -> DataFrame:
     """(id, n, sid, parity) of each document; sid names its set."""
 
@@ -90,8 +101,7 @@ def sketches(docs: DataFrame, width: int, percent: int, id: str, text: str) -> D
                 n, sid, bits = [], [], []
                 for s in shingles(h, bounds, width):
                     n.append(len(s))
-                    m = mix(s + _U(0x632BE59BD9B4E019))
-                    sid.append(np.array([s.sum(dtype=_U), m.sum(dtype=_U) ^ _U(len(s))]).tobytes() if len(s) else None)
+                    sid.append(name_of(s))
                     bits.append(parity(s))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, z - a), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * (SKETCH_BITS // 64), pa.int32()), pa.array(np.concatenate(bits), pa.int64()))],
@@ -165,14 +175,106 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, links): a row for each row of docs. links counts the compared classes that link with the row's."""
+def set_rows(docs: DataFrame, width: int) -> DataFrame:
+    """(sid, s) of documents (id, text): the set's name and its sorted hashes as bytes."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, _, bounds, h in words_of(utf8(b.column("text")), WHITE):
+                sets = list(shingles(h, bounds, width))
+                yield pa.RecordBatch.from_arrays([pa.array([name_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sid", "s"])
+
+    return map_arrow(docs.select("text"), each, "sid binary, s binary")
+
+
+def linked(u: list[np.ndarray], v: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sets u link with which of the sets v, as a matrix."""
+    n, m = (np.array([len(s) for s in x], np.int64) for x in (u, v))
+    common, where = np.unique(np.concatenate(u), return_inverse=True)
+    row = np.repeat(np.arange(len(u)), n)
+    other = np.concatenate(v)
+    at = np.minimum(np.searchsorted(common, other), len(common) - 1)
+    met = common[at] == other
+    col, other = np.repeat(np.arange(len(v)), m)[met], at[met]
+    # hashes in the order of their use; those of few sets are counted one by one, others a matrix of COLUMNS of them at a time
+    used = np.bincount(other, minlength=len(common))
+    by_u, by_v = np.argsort(where, kind="stable"), np.argsort(other, kind="stable")
+    row, where, col, other = row[by_u], where[by_u], col[by_v], other[by_v]
+    weight = np.bincount(where, minlength=len(common)) * used
+    dense = weight > DENSE
+    same = np.zeros(len(u) * len(v), np.int64)
+    # rare hashes: all pairs of a hash's sets
+    starts = np.concatenate(([0], np.cumsum(used)))
+    rare = np.flatnonzero(~dense[where] & (used[where] > 0))
+    for a in range(0, len(rare), 1 << 14):
+        i = rare[a : a + (1 << 14)]
+        k = used[where[i]]
+        j = np.repeat(starts[where[i]] - np.cumsum(k) + k, k) + np.arange(int(k.sum()))
+        same += np.bincount(np.repeat(row[i], k) * len(v) + col[j], minlength=len(same))
+    same = same.reshape(len(u), len(v))
+    often = np.flatnonzero(dense)
+    for a in range(0, len(often), COLUMNS):
+        part = often[a : a + COLUMNS]
+        place = np.full(len(common), -1, np.int64)
+        place[part] = np.arange(len(part))
+        x, y = np.zeros((len(u), len(part)), np.float32), np.zeros((len(v), len(part)), np.float32)
+        i, j = place[where] >= 0, place[other] >= 0
+        x[row[i], place[where[i]]] = 1
+        y[col[j], place[other[j]]] = 1
+        same += (x @ y.T).astype(np.int64)
+    return 100 * same >= percent * (n[:, None] + m[None, :] - same)
+
+
+def link_counts(members: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(sid, links) of the classes (sid, id, n, component): how many others link with each. docs: (id, text).
+
+    Linking sets lie in one component, so all pairs of a component are compared, once: its classes are dealt by their
+    names to blocks, and each two blocks meet in a task of their own. The work grows with the square of a component."""
+    groups = members.groupBy("component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("size")).where("k > 1")
+    blocks = groups.select("component", F.ceil(F.greatest(F.col("k") / BLOCK_SETS, F.col("size") / BLOCK_SHINGLES)).cast("long").alias("of"))
+    dealt = members.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("of"))).select("sid", "id", "component", "of", "block")
+    dealt = stored(dealt, "jaccard-blocks")
+    needed = dealt.select("id").distinct()
+    sets = set_rows(docs.join(F.broadcast(needed) if needed.count() * 32 <= BROADCAST_LIMIT_BYTES else needed, "id", "left_semi"), width)
+    rows = stored(dealt.join(sets.dropDuplicates(["sid"]), "sid"), "jaccard-sets")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("of") - 1))
+    met = rows.withColumn("o", other).select("component", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "sid", "s")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, ([], [])
+
+        def done() -> pa.RecordBatch:
+            (a, u), (b, v) = (([x for x, _ in h], [np.frombuffer(y, _U) for _, y in h]) for h in held)
+            if key[1] == key[2]:
+                n = linked(u, u, percent).sum(axis=1) - 1  # each set links with itself
+                return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(n, pa.int64())], names=["sid", "links"])
+            links = linked(u, v, percent) if u and v else np.zeros((len(u), len(v)), bool)
+            return pa.RecordBatch.from_arrays([pa.array(a + b, pa.binary()), pa.array(np.concatenate((links.sum(axis=1), links.sum(axis=0))), pa.int64())], names=["sid", "links"])
+
+        for batch in batches:
+            for c, i, j, block, sid, s in zip(*(batch.column(x).to_pylist() for x in ("component", "i", "j", "block", "sid", "s")), strict=True):
+                if (c, i, j) != key:
+                    if key is not None:
+                        yield done()
+                    key, held = (c, i, j), ([], [])
+                held[block != i].append((sid, s))
+        if key is not None:
+            yield done()
+
+    grouped = met.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+    return map_arrow(grouped, count, "sid binary, links long").groupBy("sid").agg(F.sum("links").alias("links"))
+
+
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text", links: bool = True) -> DataFrame:
+    """(id, n_shingles, component_id, links): a row for each row of docs. links counts the other distinct sets that link with the row's;
+    it is left out, and not counted, if links is False."""
+    counted = links
     every = stored(sketches(docs, width, percent, id, text), "jaccard-sketches")
     total = every.count()
     # one row for each distinct set; the least id stands for all
     one = every.where("n > 0 and id is not null").groupBy("sid").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "n", "parity")).alias("r"))
     classes = stored(one.select("sid", "copies", "r.*"), "jaccard-classes")
-    named = stored(lookup(every.select("id", "n", "sid"), classes.select("sid", "copies", F.col("id").alias("rep")), "sid", "copies", total).select("id", "n", F.coalesce("rep", "id").alias("rep")), "jaccard-named")
+    named = stored(lookup(every.select("id", "n", "sid"), classes.select("sid", "copies", F.col("id").alias("rep")), "sid", "copies", total).select("id", "n", "sid", F.coalesce("rep", "id").alias("rep")), "jaccard-named")
 
     # keys of the classes' own documents; the others are left out, by a list of them if it is short
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
@@ -209,15 +311,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id: s
         fresh = _possible(pairs, percent).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
         links = stored(links.unionByName(_verified(stored(fresh, "jaccard-pairs"), docs, width, percent, id, text)), "jaccard-links")
         found = components(links.unionByName(again))
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
-    known = found.join(classes.select("id", "copies"), "id").withColumnRenamed("id", "rep").join(degree, "rep", "left")
+    # an id that stands for several of its texts is one row of these
+    known = found.join(classes.groupBy("id").agg(F.sum("copies").alias("copies")), "id").withColumnRenamed("id", "rep")
     out = lookup(named.withColumn("rep_", F.col("rep")), stored(known, "jaccard-found"), "rep", "copies", total)
-    return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.coalesce("component", "rep_").alias("component_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    made = [F.col("id").alias(id), F.col("n").alias("n_shingles"), F.coalesce("component", "rep_").alias("component_id")]
+    if not counted:
+        return out.select(*made)
+    counts = link_counts(classes.join(found, "id").select("sid", "id", "n", "component"), docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")), width, percent)
+    return lookup(out.drop("copies"), stored(counts.join(classes.select("sid", "copies"), "sid"), "jaccard-counts"), "sid", "copies", total).select(*made, F.coalesce("links", F.lit(0).cast("long")).alias("links"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return jaccard_components(docs, 3, 90).select("doc_id", "n_shingles", "component_id")
+    return jaccard_components(docs, 3, 90, links=False)
 
 
 SQL = r"""

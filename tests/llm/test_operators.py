@@ -102,6 +102,26 @@ def test_jaccard_join_of_odd_tables(spark):
     assert jaccard_join.jaccard_components(docs.limit(0)).collect() == []
 
 
+def test_jaccard_links_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 16)
+    rng = random.Random(8)
+    base = words(200, rng)
+    rows = []
+    for i in range(60):  # near one another: most pairs link, and no pair but those with the pivots is needed for the component
+        w = list(base)
+        for _ in range(rng.randint(0, 2)):
+            w[rng.randrange(len(w))] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(i + 1000, t) for i, t in near_rows(3)] + [(5000, None), (5001, " ".join(base)), (5001, "other text of the id"), (5001, rows[7][1] + " more"), (5002, ""), (5002, " ".join(base) + " z"), (None, rows[3][1])]
+    got = jaccard_join.jaccard_components(frame(spark, rows, "doc_id long, text string"), 3, 90).collect()
+    of = lambda t: frozenset(zip(*(t.split()[k:] for k in range(min(3, len(t.split())))))) if t else frozenset()
+    sets = {of(t) for i, t in rows if t and i is not None}
+    want = {s: sum(a != s and 100 * len(s & a) >= 90 * len(s | a) for a in sets) for s in sets}
+    assert sorted((r["doc_id"], r["n_shingles"], r["links"]) for r in got if r["doc_id"] is not None) == sorted((i, len(of(t)), want.get(of(t), 0)) for i, t in rows if i is not None)
+    assert max(want.values()) > 40 and len(got) == len(rows)
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == plain_components([x for x in rows if x[0] is not None], 3, 90)[0]
+
+
 def test_keys_of_linking_sets_meet():
     rng = np.random.default_rng(3)
     for n in (9, 10, 19, 40, 333, 2000):
