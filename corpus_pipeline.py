@@ -31,9 +31,9 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents of which less than a twentieth of the words is in windows of benchmark items."""
+    """Keeps documents of which less than a twentieth of the words is in windows of benchmark items, without their spans of over 50 such words."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.find_hits(docs, items).where(~decontamination.contaminated()).select(*docs.columns)
+    return decontamination.remove_spans(docs, items).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator, Sequence
+from fractions import Fraction
 from typing import NamedTuple
 
 import numpy as np
@@ -268,7 +269,8 @@ def contaminated():
 
 def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, longest: int = 50, coverage: float = 0.05) -> DataFrame:
     """docs without rows whose hit share reaches `coverage`; from the others, spans of over `longest` words are cut."""
-    hits = find_hits(docs, items, text, window).where((n_hit() == 0) | (n_hit() < coverage * F.col("n_words")))
+    share = Fraction(str(coverage))  # as floats, 0.05 * 140 is above 7
+    hits = find_hits(docs, items, text, window).where((n_hit() == 0) | (share.denominator * n_hit() < share.numerator * F.col("n_words")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

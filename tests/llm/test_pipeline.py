@@ -30,6 +30,20 @@ def test_stages(spark, tmp_path):
     assert {r["doc_id"] for r in kept[4]} == kept[3].keys()
 
 
+def test_long_spans_of_kept_documents_are_cut(spark, tmp_path):
+    passage = " ".join(f"p{i}" for i in range(90))
+    short = " ".join(f"q{i}" for i in range(20))
+    around = [" ".join(f"w{k}x{i}" for i in range(1000)) for k in range(4)]
+    spark.createDataFrame([(1, passage), (2, short)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, f"{around[0]} {around[1]} {passage} {around[2]}", "en", "a", 0), (2, f"{around[0]} {short} end", "en", "a", 0), (3, f"{passage} {around[0]}", "en", "a", 0), (4, None, None, None, None), (5, " ".join(f"w{i}" for i in range(120)) + f" {short[: short.index(' q7')]}", "en", "a", 0), (6, " ".join(f"w{i}" for i in range(380)) + f" {short}", "en", "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()}
+    # 90 of 1,090 words and 20 of 400 are a twentieth or more; spans of at most 50 words stay
+    assert got.keys() == {1, 2, 4, 5}
+    assert got[1]["text"].split() == " ".join(around[:3]).split() and got[1]["n_chars"] == len(got[1]["text"])
+    assert [got[i]["text"] for i in (2, 4, 5)] == [rows[i - 1][1] for i in (2, 4, 5)]
+
+
 def test_run_and_odd_rows(spark, tmp_path):
     rows = [(1, None, None, None, None), (None, "text of no id", "en", "a", 13), (2, "", "en", "a", 0), (3, "a b c d e f g", "en", "b", 13), (4, "a b c d e f g", "en", "b", 13)]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
