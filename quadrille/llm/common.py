@@ -22,14 +22,23 @@ LOWER = UPPER.lower()
 
 
 def shared_root(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where it is unset, as in tests, a temporary folder."""
+    """spark.checkpoint.dir of the session; where it is unset, a temporary folder if all runs in one process, as in tests, else an error."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: executors on other machines need a shared folder")
         root = "file://" + os.path.join(tempfile.gettempdir(), "quadrille-shared")
-        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def spare(taken: Iterable[str], name: str) -> str:
+    """A column name that none of the names is, whatever their case."""
+    have = {x.lower() for x in taken}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """The URI of a new folder under the shared root, that all executors see."""
     return f"{shared_root(spark)}/quadrille/{label}-{uuid.uuid4().hex[:12]}"
@@ -89,6 +98,8 @@ def lookup(rows: DataFrame, classes: DataFrame, key: str, size: str, total: int)
     hot = classes.where(F.col(size) >= floor)
     cold = classes.where(F.col(size) < floor)
     values = [c for c in classes.columns if c != key]
-    found = rows.join(F.broadcast(hot.select(F.col(key).alias("_k"), F.struct(*values).alias("_hot"))), F.col(key) == F.col("_k"), "left").drop("_k")
-    missed = found.where(F.col("_hot").isNull()).drop("_hot").join(cold.select(F.col(key).alias("_k"), *values), F.col(key) == F.col("_k"), "left").drop("_k")
-    return found.where(F.col("_hot").isNotNull()).select(*rows.columns, *[F.col(f"_hot.{v}").alias(v) for v in values]).unionByName(missed.select(*rows.columns, *values))
+    k, h = spare([*rows.columns, *values], "_k"), spare([*rows.columns, *values], "_hot")
+    kept = [F.col(f"`{c}`") for c in rows.columns]
+    found = rows.join(F.broadcast(hot.select(F.col(key).alias(k), F.struct(*values).alias(h))), F.col(key) == F.col(k), "left").drop(k)
+    missed = found.where(F.col(h).isNull()).drop(h).join(cold.select(F.col(key).alias(k), *values), F.col(key) == F.col(k), "left").drop(k)
+    return found.where(F.col(h).isNotNull()).select(*kept, *[F.col(f"{h}.{v}").alias(v) for v in values]).unionByName(missed.select(*kept, *values))
