@@ -6,8 +6,9 @@ The automaton reads a document's words and tracks the longest suffix that occurs
 reaches the window's length, the window's words are hit. Before it, vectorised tests find the stretches of
 words in which each neighbouring pair occurs in some item: outside of them no window can occur.
 
-Null and empty texts have no words and no hits; items without words, or without an id, are left out;
-items of equal texts are all found; no items, no hits. Repeated rows are judged one by one; other
+Null and empty texts have no words and no hits; items without words are left out; the windows of an item
+without an id hit words, but such an item has no name that could be counted or listed; items of equal texts
+are all found; no items, no hits. Repeated rows are judged one by one; other
 columns stay, those named like an output are replaced.
 
 The items' words are counted first. Up to SHARD_WORDS go to the executors as one automaton; more are split
@@ -39,7 +40,7 @@ _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 class Automaton:
     """Suffix automaton of several word sequences. step[state * width + word] is the next state."""
 
-    def __init__(self, items: Sequence[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: Sequence[tuple[str | None, bytes]], window: int = WINDOW):
         self.window, self.names = window, []
         hashed: list[np.ndarray] = []
         for (name, _), h in zip(items, _hashes([t for _, t in items]), strict=True):
@@ -184,7 +185,7 @@ class Automaton:
                     have[1].update(found)
             for d in range(len(bounds) - 1):
                 spans, found = got.get(d, ((), ()))
-                yield Hits(int(bounds[d + 1] - bounds[d]), merged(spans), sorted(self.names[k] for k in found))
+                yield Hits(int(bounds[d + 1] - bounds[d]), merged(spans), sorted({self.names[k] for k in found} - {None}))
 
 
 class Hits(NamedTuple):
@@ -228,8 +229,8 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[last:]])
 
 
-def _shards(items: DataFrame, id: str, text: str) -> Iterator[list[tuple[str, bytes]]]:
-    rows = items.where(F.col(id).isNotNull() & F.col(text).isNotNull()).select(F.col(id).cast("string").alias("id"), F.col(text).alias("text"))
+def _shards(items: DataFrame, id: str, text: str) -> Iterator[list[tuple[str | None, bytes]]]:
+    rows = items.where(F.col(text).isNotNull()).select(F.col(id).cast("string").alias("id"), F.col(text).alias("text"))
     words = rows.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))).first()[0] or 0
     n = -(-words // SHARD_WORDS) or 1
     for k in range(n):
