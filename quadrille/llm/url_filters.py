@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrille.llm.common import ascii_lower
+from quadrille.llm.common import ascii_lower, spare
 
 #: Rules are embedded in the plan; more are refused, and to be split over several calls.
 MAX_RULES = 200_000
@@ -25,7 +25,7 @@ MAX_RULES = 200_000
 
 @dataclass(frozen=True)
 class Rule:
-    """name: what `rule` reports, or None; regex: on host + "\\n" + path; tokens: whole tokens that every fitting URL has."""
+    """name: what `rule` reports, or None; regex: on host + path, of which only the path has a slash, at its start; tokens: whole tokens that every fitting URL has."""
 
     name: str | None
     verdict: str
@@ -40,12 +40,12 @@ def prefix_rule(verdict: str, text: str) -> Rule:
     host, path = host.lower(), slash + path
     whole = path if path.endswith("/") else path[: max((path.rfind(c) for c in "/-._~"), default=0) + 1]
     tokens = [f"h:{x}" for x in _pieces(host)] + [f"p:{x}" for x in _pieces(whole)]
-    return Rule(text, verdict, rf"^(?:[^\n]*\.)?{_quoted(host)}\n{_quoted(path)}", tuple(tokens), 1000 + len(text))
+    return Rule(text, verdict, rf"\A(?:[^/]*\.)?{_quoted(host)}{_quoted(path) if path else r'(?:/|\z)'}", tuple(tokens), 1000 + len(text))
 
 
 def word_rule(verdict: str, word: str) -> Rule:
     """A host with that word between dots, dashes or ends. Any prefix rule goes before it."""
-    return Rule(None, verdict, rf"^(?:[^\n]*[.-])?{_quoted(word)}(?:[.-][^\n]*)?\n", (f"h:{word}",), len(word))
+    return Rule(None, verdict, rf"\A(?:[^/]*[.-])?{_quoted(word)}(?:[.-][^/]*)?(?:/|\z)", (f"h:{word}",), len(word))
 
 
 #: Host words of sellers and adult sites. Fixed values.
@@ -67,8 +67,8 @@ def _quoted(text: str) -> str:
 def host_and_path(url: Column) -> tuple[Column, Column]:
     at = F.locate("://", url)
     rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
-    host = F.regexp_extract(rest, r"^[^/?#]*", 0)
-    path = F.regexp_extract(F.substring(rest, F.length(host) + 1, F.length(rest)), r"^[^?#]*", 0)
+    host = F.regexp_extract(rest, r"\A[^/?#]*", 0)
+    path = F.regexp_extract(F.substring(rest, F.length(host) + 1, F.length(rest)), r"\A[^?#]*", 0)
     return ascii_lower(host), path
 
 
@@ -114,13 +114,13 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", default: s
     kind = "array<array<struct<token:string,regex:string,rank:int,rule:string,verdict:string>>>"
     index = F.from_json(F.lit(json.dumps(slots)), kind)  # constant: folded once, when the plan is made
     df = _with_parts(pages, url)
-    text = F.concat_ws("\n", "host", "path")
-    fetched = F.flatten(F.transform(F.col("_t"), lambda t: F.filter(F.element_at(index, F.pmod(F.xxhash64(t), F.lit(n)).cast("int") + 1), lambda r: r["token"] == t)))
-    df = df.withColumn("_t", _tokens(F.col("host"), F.col("path"))).withColumn("_c", fetched).withColumn("_x", text)
-    fitting = F.filter(F.col("_c"), lambda r: F.regexp_like(F.col("_x"), r["regex"]))
+    t, c, x, b = (spare(df.columns, n) for n in ("_t", "_c", "_x", "_b"))
+    fetched = F.flatten(F.transform(F.col(t), lambda k: F.filter(F.element_at(index, F.pmod(F.xxhash64(k), F.lit(n)).cast("int") + 1), lambda r: r["token"] == k)))
+    df = df.withColumn(t, _tokens(F.col("host"), F.col("path"))).withColumn(c, fetched).withColumn(x, F.concat("host", "path"))
+    fitting = F.filter(F.col(c), lambda r: F.regexp_like(F.col(x), r["regex"]))
     best = F.array_max(F.transform(fitting, lambda r: F.struct(r["rank"].alias("rank"), F.coalesce(r["rule"], F.lit("")).alias("by"), r["rule"].alias("rule"), r["verdict"].alias("verdict"))))
-    df = df.withColumn("_b", F.when(F.size("_c") > 0, best))
-    return df.withColumn("rule", F.col("_b.rule")).withColumn("verdict", F.coalesce(F.col("_b.verdict"), F.lit(default))).drop("_t", "_c", "_x", "_b")
+    df = df.withColumn(b, F.when(F.size(c) > 0, best))
+    return df.withColumn("rule", F.col(f"{b}.rule")).withColumn("verdict", F.coalesce(F.col(f"{b}.verdict"), F.lit(default))).drop(t, c, x, b)
 
 
 #: The rules of the contract.
