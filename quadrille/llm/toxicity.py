@@ -3,8 +3,10 @@
 Terms are a text's words, after lower-casing A-Z, and the first 4 to 8 bytes of longer words, hashed to
 2^20 places. score = sigmoid(bias + sum of weights + sum over pairs of present terms of the inner product of
 their factors), so a pair of terms can weigh more, or less, than both alone. The model is fitted on at most
-`sample` labelled rows, those of the least hash of their id; terms enter it by a test of their
-document frequencies in both classes, so the many words of a long text add nothing by their number.
+`sample` labelled rows, those of the least hashes. Terms enter it by tests of document frequencies in both
+classes: a term's own, and, for terms that tell nothing alone, those of their pairs. So the many words of a
+long text add nothing by their number, and a pair of terms that are harmless alone is learned. Both classes
+weigh alike in the fit, however rare one is.
 
 Null and empty texts, and texts without known terms, get the bias's score. Rows with a null label or id are
 not learned from. Without labelled rows of both kinds the score is the share of ones, or 0.5. Repeated rows
@@ -31,6 +33,9 @@ SAMPLE = 12_000
 FACTORS = 8
 #: Terms of the model, at most, and their least standard score.
 TERMS, Z = 4096, 3.0
+#: Pairs are tested among so many terms, the most frequent ones of neither all nor few rows; their least standard
+#: score is higher, as there are millions of them; and at most so many terms enter by them.
+PAIR_TERMS, PAIR_Z, PAIRED = 2048, 7.0, 512
 
 
 def _terms(texts: Sequence[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -94,21 +99,20 @@ def fit(docs: Sequence[np.ndarray], labels: np.ndarray, epochs: int = 200, rate:
     for d, y in zip(docs, labels.tolist(), strict=True):
         every[d] += 1
         in_ones[d] += y
-    p = every / n
-    z = (in_ones / ones - (every - in_ones) / (n - ones)) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / ones + 1 / (n - ones)))
-    z[every < 3] = 0
-    terms = np.sort(np.argsort(-np.abs(z), kind="stable")[:TERMS])
-    terms = terms[np.abs(z[terms]) >= Z]
+    z = _standard(every, in_ones, n, ones)
+    terms = np.argsort(-np.abs(z), kind="stable")[:TERMS]
+    terms = np.union1d(terms[np.abs(z[terms]) >= Z], _paired(docs, labels, every, ones))
     place = np.full(1 << BITS, -1, np.int64)
     place[terms] = np.arange(len(terms))
     known = [place[d][place[d] >= 0] for d in docs]
     doc, term = np.repeat(np.arange(n), [len(k) for k in known]), np.concatenate(known)
     m, rng = len(terms), np.random.default_rng(seed)
-    model = Machine(terms, float(np.log(ones / (n - ones))), np.zeros(m), rng.normal(0, 0.02, (m, FACTORS)))
+    share = np.where(labels > 0, 0.5 / ones, 0.5 / (n - ones))
+    model = Machine(terms, 0.0, np.zeros(m), rng.normal(0, 0.02, (m, FACTORS)))
     sq_b, sq_w, sq_v = 1e-8, np.full(m, 1e-8), np.full((m, FACTORS), 1e-8)
     for epoch in range(2 * epochs):  # AdaGrad on the whole sample: the same result each time; the weights go before the factors
         s = [np.bincount(doc, model.factors[term, f], n) for f in range(FACTORS)]
-        g = (1 / (1 + np.exp(-np.clip(model.raw(doc, term, n), -30, 30))) - labels) / n
+        g = (1 / (1 + np.exp(-np.clip(model.raw(doc, term, n), -30, 30))) - labels) * share
         gb = g.sum()
         gw = np.bincount(term, g[doc], m) + decay * model.weights
         sq_b += gb * gb
@@ -123,12 +127,45 @@ def fit(docs: Sequence[np.ndarray], labels: np.ndarray, epochs: int = 200, rate:
     return model
 
 
+def _standard(every: np.ndarray, in_ones: np.ndarray, n: int, ones: float) -> np.ndarray:
+    """Standard scores of the difference between the classes' shares; 0 for what is in under three documents."""
+    p = every / n
+    z = (in_ones / ones - (every - in_ones) / (n - ones)) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / ones + 1 / (n - ones)))
+    z[every < 3] = 0
+    return z
+
+
+def _paired(docs: Sequence[np.ndarray], labels: np.ndarray, every: np.ndarray, ones: float) -> np.ndarray:
+    """Terms of pairs whose joint frequency tells the classes apart better than either term's own, best first by pair."""
+    n = len(docs)
+    some = np.flatnonzero((every >= max(8, n // 500)) & (every <= n // 2))
+    some = np.sort(some[np.argsort(-every[some], kind="stable")[:PAIR_TERMS]])
+    k = len(some)
+    if k < 2:
+        return np.empty(0, np.int64)
+    place = np.full(1 << BITS, -1, np.int64)
+    place[some] = np.arange(k)
+    x = np.zeros((n, k), np.float32)
+    for i, d in enumerate(docs):
+        at = place[d]
+        x[i, at[at >= 0]] = 1
+    hit = x[labels > 0]
+    z = np.abs(_standard((x.T @ x).astype(np.float64).ravel(), (hit.T @ hit).astype(np.float64).ravel(), n, ones)).reshape(k, k)
+    alone = np.diag(z).copy()
+    z = np.triu(np.where(z > np.maximum(alone[:, None], alone[None, :]) + 2, z, 0), 1)
+    a, b = np.nonzero(z >= PAIR_Z)
+    order = np.argsort(-z[a, b], kind="stable")
+    both = np.column_stack((a[order], b[order])).reshape(-1)
+    _, first = np.unique(both, return_index=True)
+    return some[both[np.sort(first)[:PAIRED]]]
+
+
 def held_out(id: Column) -> Column:
     return F.crc32(id.cast("string").cast("binary")) % 3 == 1
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Machine:
-    """labels: (id, label) rows to learn from. At most `sample` of them are used; their terms come to the driver."""
+    """labels: (id, label) rows to learn from. At most `sample` rows of them, joined with docs, are used, those of the least hashes; their terms come to the driver."""
     chosen = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull()).select(F.col(id).alias("_id"), F.col(label).cast("double").alias("_y")).orderBy(F.xxhash64("_id"), "_id", "_y").limit(sample)
     # at most `sample` rows of two numbers
     rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
@@ -142,7 +179,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "d
                 found += [term[edges[i] : edges[i + 1]].astype("<i4").tobytes() for i in range(n)]
             yield pa.RecordBatch.from_arrays([b.column("_id").cast(pa.string()), b.column("_y"), pa.array(found, pa.binary())], names=["id", "y", "terms"])
 
-    got = sorted((r["id"], r["y"], bytes(r["terms"])) for r in map_arrow(rows, each, "id string, y double, terms binary").limit(2 * sample).toLocalIterator())
+    # ids may repeat in docs, with other texts: the bound goes by hash, so it is the same rows each time
+    found = map_arrow(rows, each, "id string, y double, terms binary").orderBy(F.xxhash64("id"), "id", F.xxhash64("terms"), "terms", "y").limit(sample)
+    got = sorted((r["id"], r["y"], bytes(r["terms"])) for r in found.collect())
     return fit([np.frombuffer(t, "<i4") for _, _, t in got], np.array([y for _, y, _ in got]))
 
 
