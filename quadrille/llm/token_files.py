@@ -16,6 +16,7 @@ the tasks write under names that follow from the partition, and rename, so that
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -35,28 +36,44 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DOCUMENTS = 0x184D2A50
 #: Ids in a frame, about; a document is never split, so a longer one has a frame of its own.
 FRAME_IDS = 1 << 16
-#: Bytes of input in a file, about.
-FILE_BYTES = 64 << 20
 #: Chunks of text that a task remembers with their ids.
 CACHE_CHUNKS = 600_000
 
 
+# How the tokenizers that Encoder knows to work chunk by chunk normalise and split a text.
+_CHUNK_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_CHUNK_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+
+
+def works_by_chunk(path: str) -> bool:
+    """Whether a text's ids are those of its chunks between spaces and line ends: judged by the tokenizer's own file."""
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    splits = (told.get("pre_tokenizer") or {}).get("pretokenizers") or [None]
+    return (
+        (told.get("normalizer") or {}).get("normalizers") == _CHUNK_NORMALIZERS
+        and splits[0] == _CHUNK_SPLIT
+        and [(s["type"], s.get("add_prefix_space"), s.get("use_regex")) for s in splits[1:]] == [("ByteLevel", False, False)]
+        and told["model"].get("end_of_word_suffix") == "</w>"
+    )
+
+
 _PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?#$%&*|]*)")
 
 
 class Encoder:
-    """The tokenizers library, called once for each new chunk between spaces or line ends.
+    """The tokenizers library, called with whole texts, or once for each new chunk between spaces or line ends.
 
-    The tokenizer drops white space, never joins across it and folds case, so a text's ids are those of its
-    chunks, and a plain word's, with marks after it, those of the word and of the marks. That holds for
-    tokenizers that split at white space, drop it, fold case and set marks apart; `whole` encodes others.
+    If the tokenizer drops white space, never joins across it and folds case, a text's ids are those of its
+    chunks, and a plain word's, with marks after it, those of the word and of the marks. The tokenizer's file
+    tells; without that, or if `whole` says so, whole texts are encoded.
     New chunks are encoded many at once, with a special token between them, at which the library cuts."""
 
-    def __init__(self, path: str, whole: bool = False):
+    def __init__(self, path: str, whole: bool | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.whole = Tokenizer.from_file(path), whole
+        self.tokenizer, self.whole = Tokenizer.from_file(path), not works_by_chunk(path) if whole is None else whole
         special = [(i, t.content) for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items()) if t.special]
         self.cut_id, self.cut = special[-1] if special else (None, "")
         # ids that end a word, in vocabularies that mark them
@@ -144,10 +161,10 @@ class Encoder:
         return [ids[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool | None], Encoder] = {}
 
 
-def encoder(path: str, whole: bool = False) -> Encoder:
+def encoder(path: str, whole: bool | None = None) -> Encoder:
     """One in each Python worker, which goes from task to task."""
     if (path, whole) not in _ENCODERS:
         _ENCODERS[path, whole] = Encoder(path, whole)
@@ -238,12 +255,12 @@ class Reader:
         return len(self.keys)
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 2, id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 2, id: str = "doc_id", text: str = "text", whole: bool | None = None) -> DataFrame:
     """Writes the files; returns (part, file, n_docs, n_ids, base), a row for each file; base counts the ids in earlier files."""
     spark = docs.sparkSession
     parts = max(docs.rdd.getNumPartitions() if not docs.isStreaming else 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # doc_id breaks no ties among its own repeats, so the text is a part of the order within a partition only
-    dealt = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).repartitionByRange(parts, "id").sortWithinPartitions("id", "text")
+    # the beginning of the text parts rows that share an id, or have none; the order of beginnings is that of the texts
+    dealt = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).repartitionByRange(parts, F.col("id"), F.substring("text", 1, 48)).sortWithinPartitions("id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
