@@ -292,8 +292,8 @@ def plain_hits(text, items, window):
         for i in range(len(w) - n + 1):
             if n and tuple(w[i : i + n]) in grams:
                 hit |= set(range(i, i + n))
-                found.add(str(name))
-    return len(w), len(hit), sorted(found)
+                found.add(name)
+    return len(w), len(hit), sorted(str(x) for x in found if x is not None)
 
 
 @pytest.mark.parametrize("window,shard", [(4, 200_000), (4, 30), (13, 200_000)])
@@ -306,9 +306,8 @@ def test_decontamination(spark, monkeypatch, window, shard):
     docs += docs[:3]
     got = decontamination.find_hits(frame(spark, docs, "doc_id long, text string").withColumn("n_words", F.lit("x")), frame(spark, items, "item_id long, text string"), window=window).select("*", decontamination.n_hit().alias("n_hit")).collect()
     assert len(got) == len(docs)
-    named = [x for x in items if x[0] is not None]
     for r in got:
-        assert (r["n_words"], r["n_hit"], r["hit_items"]) == plain_hits(r["text"], named, window), r["doc_id"]
+        assert (r["n_words"], r["n_hit"], r["hit_items"]) == plain_hits(r["text"], items, window), r["doc_id"]
 
 
 def test_spans_are_removed(spark):
@@ -533,3 +532,99 @@ def test_index_blocks(spark):
     for u in set(urls):
         assert sorted(x["id"] for x in index.find(u)) == [i for i, v in enumerate(urls) if v == u]
     assert warc.url_key("http://User@WWW.Example.com:8080/A?b#c") == "com,example,www:8080)/a?b"
+
+
+def test_windows_of_items_without_an_id_hit(spark):
+    docs = frame(spark, [(1, "x alpha beta gamma y"), (2, "x")], "doc_id long, text string")
+    items = frame(spark, [(None, "alpha beta gamma"), (7, "beta"), (7, "gamma y")], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n"], r["hit_items"]) for r in decontamination.find_hits(docs, items).select("*", decontamination.n_hit().alias("n")).collect()}
+    assert got == {1: (5, 4, ["7"]), 2: (1, 0, [])}
+
+
+def test_line_ends_in_urls(spark):
+    rows = [(1, "http://a\nx.example.net/en/"), (2, "http://x.org/fr/\n?"), (3, "http://casino\n.net"), (4, "http://a\n-spam/x"), (5, "http://spam\n/x")]
+    docs = frame(spark, rows, "page_id long, url string").withColumns({"_t": F.lit("kept"), "_b": F.lit(1)})
+    got = {r["page_id"]: r for r in url_filters.judge_urls(docs, [url_filters.prefix_rule(*r) for r in (*url_filters.CONTRACT, ("block", "org"))] + url_filters.default_rules()).collect()}
+    assert [(got[i]["rule"], got[i]["verdict"]) for i in range(1, 6)] == [("example.net/en/", "allow"), ("org/fr/", "allow"), (None, "allow"), (None, "block"), (None, "allow")]
+    assert all(r["_t"] == "kept" and r["_b"] == 1 for r in got.values())
+
+
+def test_pairs_of_terms_that_tell_nothing_alone():
+    """The label is the exclusive or of two terms, so neither has a marginal effect."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 2, (4000, 2))
+    y = (x[:, 0] ^ x[:, 1]).astype(float)
+    docs = [np.unique(np.array([7] * r[0] + [9] * r[1] + list(rng.integers(100, 600, 12)), dtype=np.int64)) for r in x]
+    m = toxicity.fit(docs[:3000], y[:3000])
+    assert {7, 9} <= set(m.terms.tolist())
+    place = {t: i for i, t in enumerate(m.terms.tolist())}
+    raw = lambda d: m.raw(np.zeros(len(d), int), np.array(d, int), 1)[0]
+    assert np.mean([(raw([place[t] for t in d.tolist() if t in place]) > 0) == bool(k) for d, k in zip(docs[3000:], y[3000:])]) > 0.95
+
+
+def test_machine_sums_over_pairs():
+    rng = np.random.default_rng(5)
+    m = toxicity.Machine(np.arange(30), 0.3, rng.normal(size=30), rng.normal(size=(30, 8)))
+    docs = [np.sort(rng.choice(30, k, replace=False)) for k in (0, 1, 2, 9, 30)]
+    want = [m.bias + m.weights[d].sum() + sum(m.factors[i] @ m.factors[j] for a, i in enumerate(d) for j in d[a + 1 :]) for d in docs]
+    got = m.raw(np.repeat(np.arange(5), [len(d) for d in docs]), np.concatenate(docs), 5)
+    assert np.allclose(got, want)
+
+
+def test_training_rows_are_the_same_each_time(spark):
+    rows = [(i % 50, f"text {i} " + ("bad" if i % 3 else "good")) for i in range(400)]
+    docs, labels = frame(spark, rows, "doc_id long, text string"), frame(spark, [(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    a, b = (toxicity.train(d, labels, sample=60) for d in (docs, docs.repartition(7).orderBy(F.rand())))
+    assert a.bias == b.bias and np.array_equal(a.terms, b.terms) and np.array_equal(a.weights, b.weights)
+
+
+def test_quality_is_ridge_on_random_features(spark):
+    """Against one matrix of all rows, and a plain isotonic fit."""
+    docs, labels = labelled(spark)
+    rows = quality.with_statistics(docs.repartition(5)).cache()
+    scorer = quality.train(rows, labels)
+    y = {r["doc_id"]: r["quality"] for r in labels.where("quality is not null and doc_id is not null").collect()}
+    got = {r["doc_id"]: np.array(r["statistics"]) for r in rows.collect()}
+    x = np.array([got[i] for i in sorted(y)])
+    t = np.array([y[i] for i in sorted(y)], float)
+    assert np.allclose(scorer.mean, x.mean(axis=0)) and np.allclose(scorer.scale, np.maximum(x.std(axis=0), 1e-6))
+    rng = np.random.default_rng(11)
+    w, b = rng.normal(0, quality.WIDTH / np.sqrt(x.shape[1]), (x.shape[1], quality.FEATURES)), rng.uniform(0, 2 * np.pi, quality.FEATURES)
+    z = np.clip((x - x.mean(axis=0)) / np.maximum(x.std(axis=0), 1e-6), -8, 8)
+    a = np.column_stack([np.ones(len(z)), z, np.sqrt(2 / quality.FEATURES) * np.cos(z @ w + b)])
+    penalty = np.full(a.shape[1], quality.RIDGE * len(a))
+    penalty[0] *= 1e-6
+    # ridge as least squares over rows that stand for the penalty
+    plain = np.linalg.lstsq(np.vstack([a, np.diag(np.sqrt(penalty))]), np.concatenate([t, np.zeros(a.shape[1])]), rcond=None)[0]
+    assert np.allclose(a @ plain, scorer.raw(x), atol=1e-6)
+    raw = np.clip(np.round(scorer.raw(x) * quality.BINS), -quality.BINS, 2 * quality.BINS)
+    # isotonic regression as the largest of the least means
+    bins = np.unique(raw)
+    sums, n = np.array([t[raw == v].sum() for v in bins]), np.array([(raw == v).sum() for v in bins])
+    cs, cn = np.concatenate(([0], np.cumsum(sums))), np.concatenate(([0], np.cumsum(n)))
+    k = len(bins)
+    fitted = [max(min((cs[j + 1] - cs[i]) / (cn[j + 1] - cn[i]) for j in range(v, k)) for i in range(v + 1)) for v in range(k)]
+    at = np.interp(bins / quality.BINS, scorer.edges, scorer.values)
+    assert all(abs(u - v) < 1e-9 or scorer.values.min() <= u <= scorer.values.max() for u, v in zip(at, fitted))
+    centres = {round(float(e), 9): v for e, v in zip(scorer.edges, scorer.values)}
+    for level in np.unique(np.round(fitted, 12)):
+        of = np.isclose(fitted, level, atol=1e-12)
+        centre = float((bins[of] * n[of]).sum() / n[of].sum() / quality.BINS)
+        assert np.isclose(centres[round(centre, 9)], level)
+
+
+def test_tokenizers_that_keep_white_space_get_whole_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert token_files.works_by_chunk(tokenizer()) and not token_files.works_by_chunk(path)
+    texts = ["a  b\n\nc", "", "Words and  more"]
+    t = Tokenizer.from_file(path)
+    got = token_files.Encoder(path).encode(texts)
+    assert [x.tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_rows_of_one_id_go_to_several_files(spark):
+    docs = frame(spark, [(None, " ".join(words(9))) for _ in range(400)], "doc_id long, text string")
+    assert token_files.write_token_files(docs, shared_folder(spark, "test-tokens"), tokenizer()).count() > 1
