@@ -1,43 +1,56 @@
 """Main text of pages, by wrappers inferred for each host.
 
-A page becomes a stream of tags and text slots. Adjacent repetitions in it are folded into repeated groups,
-and pages of one host that fold alike count as one. The streams of a host are then aligned one after
-another: what both have stays, what one lacks becomes an optional group, groups that repeat are aligned
-within; so the wrapper is a regular expression without unions, of tags, text slots, `?` and `+`. Its
-slots, with counts over all the host's pages, say where the article is: inside <article>, <main> or
-what is named so; where a page has none of them, the slots whose text varies or repeats in the container with
-the most text outside of links; pages of a host that are copies of one another count as one in this. Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts
-and styles are left out by their elements, roles, classes and ids.
+A page becomes a tree of elements and texts. Texts that are on more than half of a host's different pages, and
+on two at least, are the template's; other texts are slots. In a page, neighbours that are alike are folded into
+repeated groups, and what recurs in a run of paragraphs, headings and lists into one repeated group of
+optional parts. The pages of a host are then aligned one after another, level by level: what both have stays,
+what one lacks becomes optional, or, where it stands beside its like, repeated. So the wrapper is a regular
+expression without unions, of tags, template texts (=), text slots (#), `?`, `+` and `*`.
+
+The wrapper decides the text: each page is aligned with its host's wrapper, and every text of it falls to one of
+the wrapper's slots, or has none. Taken are the slots inside <article>, <main> or what is named so, with
+template texts in them; on a page without such texts, the slots of the element of the wrapper that holds most
+text outside of links, without template texts and links. Menus, headers, footers, sidebars, notices, adverts,
+forms, comments, scripts and styles are tags of the wrapper without content, known by their elements, roles,
+classes and ids. A text without a slot goes as the wrapper's element in which it stands, or as the wrapper's articles
+if it stands in one of the same name.
 
 In the text, character references are decoded, white space inside a block is one space, and blocks are joined
 by one space in page order. A null html, and a page without content slots, has an empty text. A null url's
 host is empty, a host as any other. Repeated rows are treated one by one; other columns stay, `text` and
-`n_chars` are replaced. A tag that never ends is text.
+`n_chars` are replaced. A tag that never ends is text. Pages are read in time linear in their length:
+elements more than DEPTH deep are read as parts of the element at that depth, with all their text; a level
+of more than WIDTH parts becomes a repeated group of optional parts, which fits any such level.
 
-Streams and slot counts are pre-aggregated by host before they meet; streams of one host are merged as they
-are read, in SALTS parts first, so no task holds more than one wrapper and one stream.
+A host's pages that are the same but for attributes and markup inside text count once. Wrappers are merged
+in rounds, in parts of a host that a hash of the page's shape deals, so no task holds more than two wrappers, and a
+host of a third of all pages is merged by many tasks.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as htmllib
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrille.llm.common import BROADCAST_LIMIT_BYTES, lookup, map_arrow, stored
+from quadrille.llm.common import BROADCAST_LIMIT_BYTES, lookup, map_arrow, spare, stored
 from quadrille.llm.url_filters import host_and_path
 
-SALTS = 16
-#: Longest body of a repeated group, in tokens.
-PERIOD = 24
-#: Elements nested deeper leave no trace in a wrapper; their text is read as any other.
+#: Parts of a host in the rounds of merging.
+ROUNDS = (4096, 64, 1)
+#: Elements nested deeper are parts of the one at that depth.
 DEPTH = 100
+#: More parts of one element become a repeated group.
+WIDTH = 200
+#: Shapes of pages that a task remembers.
+SHAPES = 5000
 
 # Elements of HTML, and common names of parts of pages.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,7 +67,6 @@ MAIN_NAMES = frozenset("article articlebody content entry maincontent post story
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
 ENDS_P = frozenset("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(?P<end2>/?)(?P<name2>[A-Za-z][^\s/>]*)[^>]*>|(?P<text>[^<]+|<)""", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -83,382 +95,560 @@ def _kind(name: str, rest: str, inside_main: bool) -> str:
     return "+" if names & MAIN_NAMES else ""
 
 
-def read(page: str) -> Iterator[tuple[str, str, str, bool]]:
-    """(event, tag or text, path, in a link): event is '<', '>', '#' for text, '|' for a break between blocks. Inline tags give no event."""
-    stack: list[tuple[str, str]] = []  # name, path so far with it
-    at, n, links = 0, len(page), 0
-    main = 0
-
-    def path() -> str:
-        return stack[-1][1] if stack else ""
-
-    def close(to: int) -> Iterator[tuple[str, str, str, bool]]:
-        nonlocal links, main
-        while len(stack) > to:
-            name, p = stack.pop()
-            if name == "a":
-                links -= 1
-            if p.endswith("+"):
-                main -= 1
-            if name not in INLINE:
-                yield ">", name, p, False
-
-    while at < n:
-        m = _TOKEN.match(page, at)
-        if not m:  # a '<' that starts nothing
-            yield "#", page[at], path(), links > 0
-            at += 1
-            continue
-        at = m.end()
-        if m["text"] is not None:
-            yield "#", m["text"], path(), links > 0
-            continue
-        name = m["name"] or m["name2"]
-        if name is None:
-            continue
-        name = name.lower()
-        if m["end"] or m["end2"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    yield from close(i)
-                    break
+_TAG = r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>%s)>|(?P<text>[^<]+|<)"""
+_TOKEN = re.compile(_TAG % r"""(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+""", re.DOTALL)
+#: Once a quoted value goes beyond the last tag's end, no later tag is tried with quoted values.
+_PLAIN_TOKEN = re.compile(_TAG % r"[^>]*", re.DOTALL)
+_STARTS = re.compile("</?[A-Za-z]")
+# Elements that text is written in. The second also hold other parts, so they can be the article's holder.
+FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr thead tbody tfoot caption blockquote pre figure figcaption hr ul ol dl table address center".split())
+CELLS = frozenset("td th".split())
+
+
+class Page:
+    """roots: the tree, of elements [label, parts] and texts [number]; texts: each block's; links: how many of its characters are in links."""
+
+    def __init__(self, page: str):
+        self.texts: list[str] = []
+        self.links: list[int] = []
+        self.roots: list = []
+        self._block: list[str] = []
+        self._linked = 0
+        self._read(page)
+
+    def _close_block(self, parts: list) -> None:
+        if self._block:
+            raw = "".join(self._block)
+            if words := " ".join(htmllib.unescape(raw).split()):
+                parts.append([len(self.texts)])
+                self.texts.append(words)
+                self.links.append(min(len(words), len(words) * self._linked // len(raw)))
+            self._block.clear()
+            self._linked = 0
+
+    def _read(self, page: str) -> None:
+        # (name, parts of the element or of what it is a part of, is it left out, does it hold the article, has it a node)
+        stack: list[tuple[str, list, bool, bool, bool]] = []
+        opened: Counter[str] = Counter()
+        blocks: list[int] = []  # places in the stack of what is not inline
+        at, n, last = 0, len(page), page.rfind(">")
+        out = links = main = depth = 0
+        here = self.roots
+        token = _TOKEN
+
+        def close(to: int) -> None:
+            nonlocal here, out, links, main, depth
+            while len(stack) > to:
+                name, parts, left, holds, node = stack.pop()
+                opened[name] -= 1
+                if name not in INLINE:
+                    blocks.pop()
+                    if not out:
+                        self._close_block(here)
+                links -= name == "a"
+                out -= left
+                main -= holds
+                depth -= node
+                here = stack[-1][1] if stack else self.roots
+
+        while at < n:
+            if at > last:  # no tag ends any more
+                text = page[at:]
+                at = n
             else:
-                if name in ("p", "br"):
-                    yield "|", name, path(), False
-            continue
-        if name in ENDS_P and any(x[0] == "p" for x in stack):
-            i = max(i for i, x in enumerate(stack) if x[0] == "p")
-            if all(x[0] in INLINE for x in stack[i + 1 :]):
-                yield from close(i)
-        if name in ENDS:
-            while stack and (stack[-1][0] in ENDS[name] or stack[-1][0] in INLINE and any(x[0] in ENDS[name] for x in stack[-4:])):
-                yield from close(len(stack) - 1)
-        rest = m["rest"] or ""
-        if name in VOID:
-            if name not in INLINE:
-                yield "|", name, path(), False
-            continue
-        kind = _kind(name, rest, main > 0)
-        # inline elements leave no trace in a path, unless they are left out or hold the article
-        here = path() if name in INLINE and not kind else f"{path()}/{name}{kind}"
-        if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}[\s/>]", re.IGNORECASE).search(page, at)
-            at = end.start() if end else n
-            if end:
-                at = page.find(">", end.start()) + 1 or n
-            yield "|", name, path(), False
-            continue
-        if rest.endswith("/") and name in ("svg", "path"):
+                m = token.match(page, at)
+                if m["text"] == "<" and token is _TOKEN and _STARTS.match(page, at):
+                    token = _PLAIN_TOKEN
+                    m = token.match(page, at)
+                at = m.end()
+                text = m["text"]
+            if text is not None:
+                if not out:
+                    self._block.append(text)
+                    self._linked += len(text) * (links > 0)
+                elif self._block and not text.isspace():
+                    self._block.append(" ")  # what is left out keeps words apart
+                continue
+            if m["name"] is None:
+                continue
+            name = m["name"].lower()
+            if m["end"]:
+                if opened[name]:
+                    i = len(stack) - 1
+                    while stack[i][0] != name:
+                        i -= 1
+                    close(i)
+                elif name in ("p", "br") and not out:
+                    self._close_block(here)
+                continue
+            if name in ENDS_P and blocks and stack[blocks[-1]][0] == "p":
+                close(blocks[-1])
+            if name in ENDS:
+                while blocks and stack[blocks[-1]][0] in ENDS[name]:
+                    close(blocks[-1])
+            rest = m["rest"]
+            inline = name in INLINE
+            if not inline and not out:
+                self._close_block(here)
+            if name in VOID:
+                continue
+            if name in RAW:
+                end = re.compile(rf"</{re.escape(name)}[\s/>]", re.IGNORECASE).search(page, at)
+                at = (page.find(">", end.start()) + 1 or n) if end else n
+                continue
+            if rest.endswith("/") and name in ("svg", "path"):
+                continue
+            kind = "" if out else _kind(name, rest, main > 0)
+            holds = kind == "+" and not inline
+            parts, node = here, False
+            if not out and not inline and (depth < DEPTH or holds and not main):
+                parts, node = [], True
+                here.append([name + kind, parts])
+            stack.append((name, parts, kind == "-", holds, node))
+            opened[name] += 1
+            links += name == "a"
+            out += kind == "-"
+            main += holds
+            depth += node
+            if not inline:
+                blocks.append(len(stack) - 1)
+            here = parts
+        close(0)
+        if not out:
+            self._close_block(here)
+
+
+# A part of a level is [label, how often, body, content]. Labels: of an element; "#" and "=", slots and template texts, whose body is
+# [characters, characters in links, content, numbers of texts]; "()", a group of parts in any order. How often: 1, ?, + or *.
+# Content: whether what has no slot of its own is taken; 2 in the article, 1 where there is none, 0, or None if not judged.
+
+
+def _more(p: str, q: str, repeated: bool = False) -> str:
+    repeated = repeated or p in "+*" or q in "+*"
+    optional = p in "?*" or q in "?*"
+    return "*" if repeated and optional else "+" if repeated else "?" if optional else "1"
+
+
+def _shape(level: list) -> str:
+    return "".join(u[0] + u[1] if u[0] in "#=" else f"{u[0]}{u[1]}<{_shape(u[2])}>" for u in level)
+
+
+def _paths(u: list) -> frozenset[str]:
+    """What is in a part, to tell how much alike two are."""
+    found: set[str] = set()
+
+    def go(level: list, above: str) -> None:
+        for x in level:
+            p = above if x[0] == "()" else f"{above}/{x[0]}"
+            found.add(p)
+            if x[0] not in "#=":
+                go(x[2], p)
+
+    if u[0] not in "#=":
+        go(u[2], "")
+    return frozenset(found)
+
+
+def _of_template(u: list) -> bool:
+    """All its texts are template texts."""
+    if u[0] in "#=":
+        return u[0] == "="
+    return bool(u[2]) and all(_of_template(x) or x[0] not in "#=" and not x[2] for x in u[2]) and any(_of_template(x) for x in u[2])
+
+
+def _like(u: list, v: list) -> bool:
+    """Repetitions of one part."""
+    if u[0] != v[0] or u[0] == "()":
+        return False
+    if u[0] in "#=":
+        return True
+    return _of_template(u) == _of_template(v) and (u[0] in FLOW or u[0] in CELLS or _paths(u) == _paths(v))
+
+
+def _joined(u: list, v: list, repeated: bool = False) -> list:
+    """One part for both."""
+    how = _more(u[1], v[1], repeated)
+    content = u[3] if u[3] is not None else v[3]
+    if u[0] in "#=":
+        x, y = u[2], v[2]
+        taken = y[2] if x[2] is None else x[2] if y[2] is None else max(x[2], y[2])
+        x[3].extend(y[3])
+        return [u[0], how, [x[0] + y[0], x[1] + y[1], taken, x[3]], content]
+    if u[0] == "()":
+        return ["()", how, _any_order([*u[2], *v[2]]), content]
+    return [u[0], how, align(u[2], v[2]), content]
+
+
+def _any_order(parts: list) -> list:
+    """One optional part for each label, in a fixed order."""
+    held: dict[tuple[str, bool], list] = {}
+    for u in parts:
+        if u[0] == "()":
+            for x in u[2]:
+                k = (x[0], _of_template(x))
+                held[k] = _joined(held[k], x) if k in held else x
             continue
-        stack.append((name, here))
-        links += name == "a"
-        main += here.endswith("+")
-        if name not in INLINE:
-            yield "<", name + kind, here, False
-    yield from close(0)
+        k = (u[0], _of_template(u))
+        held[k] = _joined(held[k], u) if k in held else u
+    return [[u[0], "?", u[2], u[3]] for _, u in sorted(held.items(), key=lambda x: x[0])]
 
 
-def summary(page: str) -> tuple[list, dict[str, list[int]]]:
-    """The folded stream, and of each slot's path [characters, characters in links, a hash of its text]."""
+def _flows(u: list) -> bool:
+    return u[0] == "()" or u[0] == "#" or u[0] in FLOW and not _of_template(u)
+
+
+def settle(level: list, grouped: bool = False) -> list:
+    """Runs of text in which a label recurs become one group; so does a level that is too wide. grouped: every run does."""
     out: list = []
-    slots: dict[str, list] = {}
-    depth = 0
-    for event, what, path, link in read(page):
-        if event == "#":
-            if not what.strip():
-                continue
-            slot = slots.setdefault(path, [0, 0, 0])
-            slot[0] += len(what)
-            slot[1] += len(what) * link
-            slot[2] = hash_of(what, slot[2])
-            if not out or out[-1] != "#":
-                out.append("#")
-        elif event in "<>":
-            # what is nested deeper than any template gives no structure
-            depth += event == "<"
-            if depth <= DEPTH:
-                out.append(event + what)
-            depth -= event == ">"
-        if depth <= DEPTH:
-            fold(out)
-    return out, slots
-
-
-def hash_of(text: str, before: int) -> int:
-    import zlib
-
-    return zlib.crc32(text.strip().encode("utf-8", "surrogatepass"), before)
-
-
-def digest_of(slots: dict[str, list[int]]) -> int:
-    """Of all a page's texts: pages with the same slots and texts are copies, whatever their tags' attributes and comments."""
-    import hashlib
-
-    named = "\n".join(f"{p}\t{n}\t{h}" for p, (n, _, h) in sorted(slots.items()))
-    return int.from_bytes(hashlib.blake2b(named.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-
-
-def fold(s: list) -> None:
-    """If the stream ends in two equal parts, or a repeated group and its body once more, fold them."""
-    if not s or not (isinstance(s[-1], str) and s[-1][0] == ">" or isinstance(s[-1], list)):
-        return
-    for m in range(1, min(PERIOD, len(s)) + 1):
-        first = s[-m]
-        if isinstance(first, str) and first[0] == ">":
+    i = 0
+    while i < len(level):
+        if not _flows(level[i]):
+            out.append(level[i])
+            i += 1
             continue
-        body = s[-m:]
-        if len(s) > m and isinstance(s[-m - 1], list) and s[-m - 1][0] == "+" and s[-m - 1][1] == body:
-            del s[-m:]
-            return
-        if len(s) >= 2 * m and s[-2 * m : -m] == body and _balanced(body):
-            del s[-2 * m :]
-            s.append(["+", body])
-            return
+        j = i
+        while j < len(level) and _flows(level[j]):
+            j += 1
+        run = level[i:j]
+        seen = Counter(u[0] for u in run)
+        if grouped or seen["()"]:
+            a, b = 0, len(run) if len(run) > 1 or seen["()"] or grouped else 0
+        else:
+            again = [k for k, u in enumerate(run) if seen[u[0]] > 1]
+            a, b = (again[0], again[-1] + 1) if again else (0, 0)
+        out += [*run[:a], *([["()", "+", _any_order(run[a:b]), None]] if b > a else []), *run[b:]]
+        i = j
+    return [["()", "+", _any_order(out), None]] if len(out) > WIDTH else out
 
 
-def _balanced(s: list) -> bool:
-    depth = 0
-    for x in s:
-        if isinstance(x, str) and x[0] in "<>":
-            depth += 1 if x[0] == "<" else -1
-            if depth < 0:
-                return False
-    return depth == 0
-
-
-def _units(s: list) -> list[tuple[str, list]]:
-    """Elements with all that is in them, text slots, and groups: (how often: 1, ? or +, body)."""
-    out: list[tuple[str, list]] = []
-    depth = 0
-    for x in s:
-        if depth:
-            out[-1][1].append(x)
-        elif isinstance(x, list):
-            out.append((x[0], x[1]))
-            continue
+def fold(parts: list, page: Page, fixed: frozenset[int] | set[int], hashes: list[int] | None) -> list:
+    """The level of a page's tree."""
+    out: list = []
+    for x in parts:
+        if len(x) == 1:
+            i = x[0]
+            u = ["=" if hashes is not None and hashes[i] in fixed else "#", "1", [len(page.texts[i]), page.links[i], None, [i]], None]
+        else:
+            u = [x[0], "1", fold(x[1], page, fixed, hashes), None]
+        if out and _like(out[-1], u):
+            out[-1] = _joined(out[-1], u, repeated=True)
+        else:
+            out.append(u)
+    return settle(out)
+
+
+def align(a: list, b: list) -> list:
+    """A level that both fit. Both are used up."""
+    if len(a) == len(b) and _shape(a) == _shape(b):
+        return [_joined(u, v) for u, v in zip(a, b, strict=True)]
+    if any(u[0] == "()" for u in a) or any(u[0] == "()" for u in b):
+        a, b = settle(a, True), settle(b, True)
+    head = 0
+    shapes = [[_shape([u]) for u in x] for x in (a, b)]
+    while head < min(len(a), len(b)) and shapes[0][head] == shapes[1][head]:
+        head += 1
+    tail = 0
+    while tail < min(len(a), len(b)) - head and shapes[0][-1 - tail] == shapes[1][-1 - tail]:
+        tail += 1
+    pairs = [(i, i) for i in range(head)] + [(i + head, j + head) for i, j in _matched(a[head : len(a) - tail], b[head : len(b) - tail])] + [(len(a) - k, len(b) - k) for k in range(tail, 0, -1)]
+    out: list = []
+    lone = False  # the last part is on one side only
+
+    def add(u: list, alone: bool) -> None:
+        nonlocal lone
+        if out and (alone or lone) and _like(out[-1], u):
+            lone = lone and alone
+            optional = out[-1][1] in "?*" and (alone or u[1] in "?*")
+            out[-1] = _joined(out[-1], u, repeated=True)
+            out[-1][1] = "*" if optional else "+"
+            return
+        out.append([u[0], _more(u[1], "?"), u[2], u[3]] if alone else u)
+        lone = alone
+
+    i = j = 0
+    for p, q in [*pairs, (len(a), len(b))]:
+        for u in (*a[i:p], *b[j:q]):
+            add(u, True)
+        if p < len(a):
+            add(_joined(a[p], b[q]), False)
+        i, j = p + 1, q + 1
+    return settle(out)
+
+
+def _matched(a: list, b: list) -> list[tuple[int, int]]:
+    """Pairs of equal labels, in order, that are most alike in sum."""
+    if not a or not b:
+        return []
+    x, y = ([(u[0], _of_template(u), _paths(u)) for u in level] for level in (a, b))
+    best = [[0.0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        row, below = best[i], best[i + 1]
+        label, template, paths = x[i]
+        for j in range(len(b) - 1, -1, -1):
+            top = below[j] if below[j] >= row[j + 1] else row[j + 1]
+            if y[j][0] == label:
+                union = len(paths | y[j][2])
+                s = below[j + 1] + 1 + (template == y[j][1]) + (len(paths & y[j][2]) / union if union else 1)
+                top = max(top, s)
+            row[j] = top
+    out, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        if best[i][j] == best[i + 1][j]:
+            i += 1
+        elif best[i][j] == best[i][j + 1]:
+            j += 1
         else:
-            out.append(("1", [x]))
-        if isinstance(x, str) and x[0] in "<>":
-            depth = max(0, depth + (1 if x[0] == "<" else -1))
+            out.append((i, j))
+            i, j = i + 1, j + 1
     return out
 
 
-def _label(body: list) -> str:
-    """What the unit begins with."""
-    while body and isinstance(body[0], list):
-        body = body[0][1]
-    return body[0] if body else ""
+def expression(level: list) -> str:
+    """The wrapper as text."""
+    out = []
+    for label, how, body, *_ in level:
+        text = label if label in "#=" else expression(body) if label == "()" else f"<{label}>{expression(body)}</{label}>"
+        out.append(text if how == "1" else f"({text}){how}")
+    return "".join(out)
+
+
+def judge(level: list) -> list:
+    """Marks what is content, in place."""
+    holders: list[tuple[list | None, list]] = []  # of slots outside of articles
+
+    def go(parts: list, holder: list | None, article: bool) -> None:
+        for u in parts:
+            if u[0] in "#=":
+                u[2][2] = 2 if article else 0
+                if not article and u[0] == "#":
+                    holders.append((holder, u))
+            else:
+                inside = article or u[0].endswith("+")
+                u[3] = 2 if inside else 0
+                go(u[2], holder if u[0] == "()" or u[0] in FLOW else u, inside)
+
+    go(level, None, False)
+    weight: dict[int, int] = {}
+    for h, u in holders:
+        weight[id(h)] = weight.get(id(h), 0) + u[2][0] - 2 * u[2][1]
+    if not weight:
+        return level
+    best = max(weight, key=lambda k: weight[k])  # the first of equals
+
+    def take(parts: list, inside: bool) -> None:
+        for u in parts:
+            if u[0] in "#=":
+                if inside and u[0] == "#" and u[2][2] == 0 and 2 * u[2][1] <= u[2][0]:
+                    u[2][2] = 1
+            else:
+                within = inside or id(u) == best
+                if within and u[3] == 0:
+                    u[3] = 1
+                take(u[2], within)
 
+    take(level, best == id(None))
+    return level
 
-def _one_element(body: list) -> bool:
-    return len(body) > 1 and isinstance(body[0], str) and body[0][0] == "<" and len(_units(body)) == 1
 
+def _copied(level: list) -> list:
+    return [[u[0], u[1], [*u[2][:3], list(u[2][3])] if u[0] in "#=" else _copied(u[2]), u[3]] for u in level]
 
-def align(a: list, b: list) -> list:
-    """A wrapper that both match: common parts, aligned within, and optional groups for the rest."""
-    if a == b:
-        return a
-    u, v = _units(a), _units(b)
-    out: list = []
 
-    def optional(units: list[tuple[str, list]]) -> None:
-        held: list = []
-        for kind, body in units:
-            if kind == "?":
-                if held:
-                    out.append(["?", held])
-                    held = []
-                out.append(["?", body])
+def _slots(level: list) -> Iterator[list]:
+    for u in level:
+        if u[0] in "#=":
+            yield u
+        else:
+            yield from _slots(u[2])
+
+
+def _labels(level: list) -> Iterator[str]:
+    for u in level:
+        yield u[0]
+        if u[0] not in "#=":
+            yield from _labels(u[2])
+
+
+def matched(wrapper: list, level: list) -> list[int]:
+    """For each slot of a page's level, in order, whether the wrapper takes it: 2, 1 or 0."""
+    level = _copied(level)
+    for k, u in enumerate(_slots(level)):
+        u[2][3] = [k]
+    wrapper = _copied(wrapper)
+    for u in _slots(wrapper):
+        u[2][3] = []
+    articles = {x for x in _labels(wrapper) if x.endswith("+")}
+    found: dict[int, int] = {}
+
+    def go(parts: list, content: int) -> None:
+        for u in parts:
+            if u[0] in "#=":
+                taken = u[2][2]
+                if taken is None:
+                    taken = content if content == 2 or content and u[0] == "#" and 2 * u[2][1] <= u[2][0] else 0
+                for k in u[2][3]:
+                    found[k] = taken
             else:
-                held += body if kind == "1" else [[kind, body]]
-        if held:
-            out.append(["?", held])
+                go(u[2], max(content, u[3] if u[3] is not None else 2 if u[0] in articles else 0))
 
-    for op, i, j, k, m in SequenceMatcher(None, [_label(x[1]) for x in u], [_label(x[1]) for x in v], autojunk=False).get_opcodes():
-        if op != "equal":
-            optional(u[i:j])
-            optional(v[k:m])
-            continue
-        for (p, x), (q, y) in zip(u[i:j], v[k:m], strict=True):
-            if x == y or x[0] == "#" or y[0] == "#" or not x or not y:
-                body = x
-            elif _one_element(x) and _one_element(y):
-                body = [x[0], *align(x[1:-1], y[1:-1]), x[-1]]
-            elif len(_units(x)) == len(_units(y)) == 1:
-                body = x
-            else:
-                body = align(x, y)
-            kind = "+" if "+" in (p, q) else "?" if "?" in (p, q) else "1"
-            out += body if kind == "1" else [[kind, body]]
-    return out
+    go(align(wrapper, level), 0)
+    return [found[k] for k in range(len(found))]
 
 
-def expression(w: list) -> str:
-    """The wrapper as text."""
-    return "".join(x if isinstance(x, str) and x == "#" else f"<{'/' * (x[0] == '>')}{x[1:]}>" if isinstance(x, str) else f"({expression(x[1])}){x[0]}" for x in w)
+def hash_of(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def repeated_slots(w: list) -> set[str]:
-    """The paths of slots inside repeated groups."""
-    found: set[str] = set()
+def text_of(page: Page, level: list, taken: list[int]) -> str:
+    by: dict[int, list[int]] = {0: [], 1: [], 2: []}
+    for u, k in zip(_slots(level), taken, strict=True):
+        by[k] += u[2][3]
+    return " ".join(page.texts[i] for i in sorted(by[2] or by[1]))
 
-    def go(s: list, stack: list[str], inside: bool) -> None:
-        for x in s:
-            if isinstance(x, list):
-                go(x[1], stack, inside or x[0] == "+")
-            elif x == "#":
-                if inside:
-                    found.add("".join(stack))
-            elif x[0] == "<":
-                stack.append(f"/{x[1:]}")
-            elif stack:
-                stack.pop()
-
-    go(w, [], False)
-    return found
-
-
-def _usable(path: str) -> bool:
-    """Nothing on the way is left out; or what is left out stands above the article and the article is not in it."""
-    return "-" not in path
-
-
-def content_paths(slots: list[tuple[str, int, int, int, bool]], repeated: set[str]) -> tuple[list[str], list[str]]:
-    """Of slots (path, pages, characters, in links, the same on all of several different pages): those in articles; those to take where a page has no article."""
-    main = [p for p, *_ in slots if _usable(p) and "+" in p]
-    rest = [(p, pages, n, links) for p, pages, n, links, same in slots if _usable(p) and "+" not in p and (p in repeated or not same)]
-    weight: dict[str, float] = {}
-    for p, _, n, links in rest:
-        holder = p.rpartition("/")[0] or p
-        weight[holder] = weight.get(holder, 0) + n - 2 * links
-    if not weight:
-        return main, []
-    best = max(weight, key=lambda h: (weight[h], -len(h), h))
-    return main, [p for p, _, n, links in rest if (p.startswith(best + "/") or p == best) and 2 * links <= n]
 
+class _Stored:
+    """A page read back from its stored tree: texts are told by hashes."""
+
+    def __init__(self, tree: str):
+        self.roots, sizes, self.links, self.hashes = json.loads(tree)
+        self.texts = [range(n) for n in sizes]
 
-def text_of(page: str | None, main: set[str], other: set[str]) -> str:
-    if not page:
-        return ""
-    parts: dict[bool, list[str]] = {True: [], False: []}
-    block: dict[bool, list[str]] = {True: [], False: []}
-
-    def end() -> None:
-        for k, b in block.items():
-            if b:
-                if words := " ".join(htmllib.unescape("".join(b)).split()):
-                    parts[k].append(words)
-                b.clear()
-
-    seen = False
-    for event, what, path, _ in read(page):
-        if event != "#":
-            end()
-        elif path in main:
-            seen = seen or not what.isspace()
-            block[True].append(what)
-        elif path in other:
-            block[False].append(what)
-        else:
-            # what stands between keeps words apart
-            for b in block.values():
-                if b and what.strip():
-                    b.append(" ")
-    end()
-    return " ".join(parts[seen])
+
+def _batch(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
 
 
 def wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
-    """pages have `host`. Returns (host, pages, wrapper, main, other), a row for each host."""
+    """pages have `host`. Returns (host, pages, wrapper, fixed, expression), a row for each host; pages counts different ones."""
+    trees_of = {"host": pa.string(), "digest": pa.int64(), "tree": pa.string(), "hashes": pa.list_(pa.int64())}
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
-                stream, slots = summary(page or "")
-                rows.append((host, json.dumps(stream, ensure_ascii=False), None, 0, 0, 0, 0))
-                texts = digest_of(slots)
-                rows += [(host, None, p, n, k, h, texts) for p, (n, k, h) in slots.items()]
-            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+            for host, raw in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
+                page = Page(raw or "")
+                hashes = [hash_of(t) for t in page.texts]
+                tree = json.dumps((page.roots, [len(t) for t in page.texts], page.links, hashes), separators=(",", ":"))
+                rows.append((host, hash_of(tree), tree, list(set(hashes))))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["host", "stream", "path", "n", "links", "h", "d"])
+                yield _batch(rows, trees_of)
+
+    read_once = map_arrow(pages.select("host", F.col(html).alias("html")), read, "host string, digest long, tree string, hashes array<long>")
+    trees = stored(read_once.dropDuplicates(["host", "digest"]), "html-trees")
+    totals = stored(trees.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "html-hosts")
+    total = trees.count()
+    often = trees.select("host", F.explode("hashes").alias("h")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # a host's template texts are at most twice as many as its pages have texts on average
+    fixed = lookup(often, totals, "host", "pages", total).where("2 * n > pages").groupBy("host").agg(F.sort_array(F.collect_list("h")).alias("fixed"))
+    hosts = stored(totals.join(fixed, "host", "left").select("host", "pages", F.coalesce("fixed", F.array().cast("array<long>")).alias("fixed")), "html-fixed")
 
-    facts = map_arrow(pages.select("host", F.col(html).alias("html")), each, "host string, stream string, path string, n long, links long, h long, d long")
-    # one pass over the pages: streams that are alike and slots of one path are summed before they move
-    summed = stored(facts.groupBy("host", "stream", "path").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("links").alias("links"), F.min("h").alias("h1"), F.max("h").alias("h2"), F.min("d").alias("d1"), F.max("d").alias("d2")), "html-facts")
-    streams = summed.where("stream is not null").select("host", "pages", "stream", F.pmod(F.xxhash64("stream"), F.lit(SALTS)).alias("salt"))
+    parts_of = {"host": pa.string(), "shape": pa.int64(), "level": pa.string()}
+
+    def row(host: str, level: list) -> tuple:
+        return host, hash_of(_shape(level)), json.dumps(level, separators=(",", ":"))
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str], list] = {}
+        for b in batches:
+            for host, tree, known in zip(b.column("host").to_pylist(), b.column("tree").to_pylist(), b.column("fixed").to_pylist(), strict=True):
+                page = _Stored(tree)
+                level = fold(page.roots, page, set(known), page.hashes)
+                for u in _slots(level):
+                    u[2][3] = []
+                k = (host, _shape(level))
+                held[k] = align(held[k], level) if k in held else level
+            if len(held) > SHAPES:
+                yield _batch([row(h, w) for (h, _), w in held.items()], parts_of)
+                held.clear()
+        if held:
+            yield _batch([row(h, w) for (h, _), w in held.items()], parts_of)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, pages_ = None, None, 0
+        key, held = None, []
         done: list[tuple] = []
         for b in batches:
-            for host, salt, stream, n in zip(*(b.column(c).to_pylist() for c in ("host", "salt", "stream", "pages")), strict=True):
-                w = json.loads(stream)
+            for host, salt, text in zip(*(b.column(c).to_pylist() for c in ("host", "salt", "level")), strict=True):
+                level = json.loads(text)
                 if (host, salt) == key:
-                    held, pages_ = align(held, w), pages_ + n
-                else:
-                    if key is not None:
-                        done.append((*key, json.dumps(held, ensure_ascii=False), pages_))
-                    key, held, pages_ = (host, salt), w, n
+                    held = align(held, level)
+                    continue
+                if key is not None:
+                    done.append(row(key[0], held))
+                key, held = (host, salt), level
             if len(done) > 256:
-                yield rows(done)
-                done.clear()
+                yield _batch(done, parts_of)
+                done = []
         if key is not None:
-            done.append((*key, json.dumps(held, ensure_ascii=False), pages_))
-        if done:
-            yield rows(done)
-
-    def rows(done: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)], names=["host", "salt", "stream", "pages"])
-
-    kind = "host string, salt long, stream string, pages long"
-    order = [F.desc("pages"), "stream"]
-    part = map_arrow(streams.repartition("host", "salt").sortWithinPartitions("host", "salt", *order), merge, kind)
-    whole = map_arrow(part.withColumn("salt", F.lit(0).cast("long")).repartition("host").sortWithinPartitions("host", *order), merge, kind)
-    # copies of one page don't make its text a template's: only pages that differ somewhere tell what is the same on all
-    slots = summed.where("path is not null").groupBy("host").agg(F.collect_list(F.struct("path", "pages", "n", "links", ((F.col("h1") == F.col("h2")) & (F.col("d1") != F.col("d2"))).alias("same"))).alias("slots"))
-    joined = whole.select("host", "pages", F.col("stream").alias("wrapper")).join(slots, "host", "left")
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield _batch([*done, row(key[0], held)], parts_of)
+
+    kind = "host string, shape long, level string"
+    level = map_arrow(lookup(trees.select("host", "tree"), hosts, "host", "pages", total), folded, kind)
+    for n in ROUNDS:
+        dealt = level.withColumn("salt", F.pmod(F.col("shape"), F.lit(n))).repartition("host", "salt").sortWithinPartitions("host", "salt", "shape", "level")
+        level = map_arrow(dealt, merge, kind)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = []
-            for w, s in zip(b.column("wrapper").to_pylist(), b.column("slots").to_pylist(), strict=True):
-                w = json.loads(w)
-                made.append((expression(w), *content_paths(sorted((x["path"], x["pages"], x["n"], x["links"], x["same"]) for x in s or ()), repeated_slots(w))))
-            text, main, other = zip(*made, strict=True) if made else ((), (), ())
-            strings = pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays([b.column("host"), b.column("pages"), pa.array(text, pa.string()), pa.array(main, strings), pa.array(other, strings)], names=["host", "pages", "wrapper", "main", "other"])
-
-    return stored(map_arrow(joined, judge, "host string, pages long, wrapper string, main array<string>, other array<string>"), "html-wrappers")
-
-
-def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """pages with text and n_chars."""
-    rows = pages.drop("text", "n_chars").withColumn("_host", host_and_path(F.coalesce(F.col(url), F.lit("")))[0])
-    found = wrappers(rows.select(F.col("_host").alias("host"), html), html)
-    slots = found.select(F.col("host").alias("_host"), F.col("pages").alias("_pages"), "main", "other")
-    size, total = slots.agg(F.sum(F.octet_length("_host") + F.octet_length(F.array_join(F.concat("main", "other"), ""))), F.sum("_pages")).first()
-    slots = slots.select("_host", "_pages", F.struct("main", "other").alias("_slots"))
-    if (size or 0) * 4 <= BROADCAST_LIMIT_BYTES:
-        met = rows.join(F.broadcast(slots), "_host", "left")
+            levels = [judge(json.loads(x)) for x in b.column("level").to_pylist()]
+            made = [pa.array([f(w) for w in levels], pa.string()) for f in (lambda w: json.dumps(w, separators=(",", ":")), expression)]
+            yield pa.RecordBatch.from_arrays([b.column("host"), *made], names=["host", "wrapper", "expression"])
+
+    return stored(map_arrow(level, judged, "host string, wrapper string, expression string").join(hosts, "host").select("host", "pages", "wrapper", "fixed", "expression"), "html-wrappers")
+
+
+def extract(pages: DataFrame, url: str = "url", html: str = "html", keep_html: bool = True) -> DataFrame:
+    """pages with text and n_chars, and without their html if that is not to be kept."""
+    host = spare(pages.columns, "_host")
+    rows = pages.withColumn(host, host_and_path(F.coalesce(F.col(url), F.lit("")))[0])
+    found = wrappers(rows.select(F.col(host).alias("host"), F.col(html).alias("html")))
+    return extract_by(rows, found, host, html, keep_html).drop(host)
+
+
+def extract_by(rows: DataFrame, found: DataFrame, host: str = "host", html: str = "html", keep_html: bool = True) -> DataFrame:
+    """rows, by wrappers that were inferred before; a host without a wrapper has no text."""
+    for c in ("text", "n_chars"):
+        if c in rows.columns and c != html:
+            rows = rows.drop(c)
+    size, total = found.agg(F.sum(F.octet_length("wrapper") + F.octet_length("host") + 8 * F.size("fixed")), F.sum("pages")).first()
+    w = spare(rows.columns, "_wrapper")
+    n = spare([*rows.columns, w], "_pages")
+    slots = found.select(F.col("host").alias(host), F.col("pages").alias(n), F.struct("wrapper", "fixed").alias(w))
+    if (size or 0) * 2 <= BROADCAST_LIMIT_BYTES:
+        met = rows.join(F.broadcast(slots.drop(n)), host, "left")
     else:
-        met = lookup(rows, slots, "_host", "_pages", total or 0)
-    kept = [c for c in rows.columns if c != "_host"]
+        met = lookup(rows, slots, host, n, total or 0)
+    kept = [f for f in rows.schema.fields if f.name not in ("text", "n_chars") and (keep_html or f.name != html)]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[list, set[int], dict[str, list[int]]]] = {}
+        shapes = 0
         for b in batches:
             texts = []
-            known: dict = {}
-            for host, page, s in zip(b.column("_host").to_pylist(), b.column(html).to_pylist(), b.column("_slots").to_pylist(), strict=True):
-                if host not in known:
-                    known[host] = (set(s["main"]), set(s["other"])) if s else (set(), set())
-                texts.append(text_of(page, *known[host]))
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*kept, "text", "n_chars"])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_host"), "text string, n_chars long"])
-    return map_arrow(met.select(*kept, "_host", "_slots"), each, schema)
+            column = b.column(w)
+            for i, (name, raw) in enumerate(zip(b.column(host).to_pylist(), b.column(html).to_pylist(), strict=True)):
+                if not raw or not column[i].is_valid:
+                    texts.append("")
+                    continue
+                if name not in known:
+                    if len(known) > 2000 or shapes > SHAPES:
+                        known.clear()
+                        shapes = 0
+                    s = column[i].as_py()
+                    known[name] = (json.loads(s["wrapper"]), set(s["fixed"]), {})
+                wrapper, fixed, taken = known[name]
+                page = Page(raw)
+                level = fold(page.roots, page, fixed, [hash_of(t) for t in page.texts])
+                shape = _shape(level)
+                if shape not in taken:
+                    taken[shape] = matched(wrapper, level)
+                    shapes += 1
+                texts.append(text_of(page, level, taken[shape]))
+            yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in kept], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*[f.name for f in kept], "text", "n_chars"])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "text string, n_chars long"])
+    return map_arrow(met.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*[f.name for f in kept], host, html, w])]), each, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    return extract(pages).select("page_id", "url", "text", "n_chars")
+    return extract(pages, keep_html=False).select("page_id", "url", "text", "n_chars")
