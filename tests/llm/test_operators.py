@@ -716,3 +716,41 @@ def test_tokenizers_that_keep_white_space_get_whole_texts(spark):
 def test_rows_of_one_id_go_to_several_files(spark):
     docs = frame(spark, [(None, " ".join(words(9))) for _ in range(400)], "doc_id long, text string")
     assert token_files.write_token_files(docs, shared_folder(spark, "test-tokens"), tokenizer()).count() > 1
+
+
+def test_taken_words_of_each_document(spark, monkeypatch):
+    """Against a stream of documents walked word by word, and against the SQL."""
+    import duckdb
+
+    rng = random.Random(14)
+    rows = [(i, " ".join(words(rng.randint(0, 9), rng)), rng.choice(["hot", "hot", "hot", "b", None])) for i in range(120)] + [(500, "a b", "z"), (501, "", "void"), (1, "again and again", "b"), (1, "again and again", "b"), (None, "no id", "b"), (None, "none either", "b")]
+    docs = frame(spark, rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 2)
+    got = sorted(((r["doc_id"], r["size"], r["source_size"], r["target"], r["taken"]) for r in mixing.mix_plan(docs, slots=40).collect()), key=repr)
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    names = sorted({r[2] for r in rows}, key=lambda s: (s is None, (s or "").encode()))
+    sizes = [sum(len(r[1].split()) for r in rows if r[2] == s) for s in names]
+    want = []
+    for s, size, goal in zip(names, sizes, mixing.targets(sizes)):
+        stream = sorted((r for r in rows if r[2] == s), key=lambda r: md5(f"{'-' if r[0] is None else r[0]}:mix:{md5(r[1])}"))
+        taken, left = [0] * len(stream), round(goal)
+        while left and size:
+            for k, r in enumerate(stream):
+                n = min(left, len(r[1].split()))
+                taken[k] += n
+                left -= n
+        want += [(r[0], len(r[1].split()), size, float(goal), n) for r, n in zip(stream, taken)]
+    assert got == sorted(want, key=repr)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    assert sorted(con.execute(mixing.SQL).fetchall(), key=repr) == got
+    monkeypatch.setattr(mixing, "schedule", lambda wanted, block, real=mixing.schedule: real([0] * len(wanted), block))
+    assert sum(r["taken"] for r in mixing.mix_plan(docs).collect()) == 0
+
+
+def test_mixed_rows_keep_clashing_columns(spark):
+    docs = frame(spark, [(i, "w " * (i % 5), "s", i, f"k{i}", 0, 1) for i in range(30)], "doc_id long, text string, source string, _size int, _key string, _at int, _slot int")
+    mixed = mixing.mix_documents(docs)
+    assert mixed.columns == docs.columns and all(r["_size"] == r["doc_id"] and r["_key"] == f"k{r['doc_id']}" and r["_slot"] == 1 for r in mixed.collect())
+    assert sum(len(r["text"].split()) for r in mixed.collect()) == 60
