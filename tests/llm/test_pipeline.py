@@ -52,3 +52,10 @@ def test_run_and_odd_rows(spark, tmp_path):
     spark.createDataFrame([(1, "x y")], "item_id long, text string").write.parquet(str(tmp_path / "in" / "benchmark.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path / "in")).collect()
     assert {r["doc_id"] for r in out} == {None, 3} and all(r["n_tokens"] > 1 for r in out)
+
+
+def test_rows_of_one_id_are_not_lost(spark):
+    rows = [(1, "one text of this id", "en", "a", 1), (1, "quite another one", "en", "b", 2), (1, "one text of this id", "de", "a", 1), (1, "one text of this id", "en", "a", 1), (2, "quite another one", "en", "a", 0), (3, "third", None, None, None), (None, "third", "en", "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((tuple(r) for r in corpus_pipeline.one_of_near_copies(spark, docs.repartition(5), SF).collect()), key=repr)
+    assert got == sorted([(1, "one text of this id", "de", "a", 1), rows[1], rows[5], rows[6]], key=repr)
