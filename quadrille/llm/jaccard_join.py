@@ -13,8 +13,10 @@ Candidates are thinned by sizes and by a second sketch, of SKETCH_BITS parity bi
 cannot be above the symmetric difference; then whole sets are compared.
 
 Equal sets become one class first. Of the documents that share a key only the pairs with two pivots, the
-least and the greatest id, are compared; those link most of a group of near copies at once. Then all remaining pairs that share a
-key, lie in different components and were not compared yet are compared, so no component is missed.
+least and the greatest id, are compared; those link most of a group of near copies at once. Keys whose documents
+then lie in several components are unsettled: where one has more than PAIRED documents, other pivots are taken, TURNS times at
+most; after that all pairs that share a key, lie in different components and were not compared yet are compared, in
+blocks of PAIRED documents, so no component is missed and no task holds more than two blocks.
 The number of links is counted after that, over all pairs of different sets of a component.
 
 Null and empty texts have the empty set, link with nothing and are components of their own. Rows that
@@ -39,6 +41,8 @@ SKETCH_BITS = 1024
 #: Sets and their shingles in a block of link_counts(), about; COLUMNS hashes are multiplied at once; a hash that more than DENSE pairs share is.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 21
 COLUMNS, DENSE = 2048, 64
+#: Documents of an unsettled key that are compared in one block; turns of other pivots for larger keys.
+PAIRED, TURNS = 256, 3
 _U = np.uint64
 
 
@@ -303,14 +307,34 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id: s
     found = components(links.unionByName(again))
 
     # what the pivots left: keys whose documents lie in several components
-    open_ = members.select("key", "id").join(found.select("id", F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
-    unsettled = open_.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("key")
-    left = stored(open_.join(unsettled, "key", "left_semi").join(sizes, "id"), "jaccard-left")
-    if left.limit(1).count():
-        pairs = left.select("key", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("parity").alias("pa")).join(left.select("key", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("parity").alias("pb")), "key").where("a < b and ca <> cb")
-        fresh = _possible(pairs, percent).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-        links = stored(links.unionByName(_verified(stored(fresh, "jaccard-pairs"), docs, width, percent, id, text)), "jaccard-links")
+    def unsettled(rows: DataFrame) -> DataFrame:
+        now = rows.select("key", "id").join(found.select("id", F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
+        several = now.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count(F.lit(1)).alias("m")).where("c1 <> c2").select("key", "m")
+        return stored(now.join(several, "key"), "jaccard-left")
+
+    def compared(pairs: DataFrame) -> None:
+        nonlocal tested, links, found
+        fresh = stored(_possible(measured(pairs.distinct()), percent).select("a", "b").join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
+        tested = tested.unionByName(fresh)
+        links = stored(links.unionByName(_verified(fresh, docs, width, percent, id, text)), "jaccard-links")
         found = components(links.unionByName(again))
+
+    left = unsettled(members)
+    for turn in range(TURNS):
+        large = left.where(F.col("m") > PAIRED)
+        if not large.limit(1).count():
+            break
+        by = F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), F.col("id").alias("id"), F.col("c").alias("c"))
+        pivot = large.groupBy("key").agg(F.min(by).alias("p1"), F.max(by).alias("p2")).select("key", F.explode(F.array("p1", "p2")).alias("p"))
+        compared(large.join(pivot, "key").where("c <> p.c").select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")))
+        left = unsettled(left)
+    if left.limit(1).count():
+        dealt = left.join(sizes, "id").withColumn("of", F.ceil(F.col("m") / PAIRED).cast("long")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("of")))
+        dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of") - 1))).withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")})
+        one, other = (dealt.select("key", "i", "j", *[F.col(c).alias(f"{c}{side}") for c in ("id", "c", "n", "parity", "block")]) for side in ("1", "2"))
+        near = one.join(other, ["key", "i", "j"]).where("c1 <> c2 and (block1 < block2 or block1 = block2 and i = j and id1 < id2)")
+        near = _possible(near.withColumnsRenamed({"n1": "na", "n2": "nb", "parity1": "pa", "parity2": "pb"}), percent)
+        compared(near.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")))
     # an id that stands for several of its texts is one row of these
     known = found.join(classes.groupBy("id").agg(F.sum("copies").alias("copies")), "id").withColumnRenamed("id", "rep")
     out = lookup(named.withColumn("rep_", F.col("rep")), stored(known, "jaccard-found"), "rep", "copies", total)
