@@ -754,3 +754,25 @@ def test_mixed_rows_keep_clashing_columns(spark):
     mixed = mixing.mix_documents(docs)
     assert mixed.columns == docs.columns and all(r["_size"] == r["doc_id"] and r["_key"] == f"k{r['doc_id']}" and r["_slot"] == 1 for r in mixed.collect())
     assert sum(len(r["text"].split()) for r in mixed.collect()) == 60
+
+
+@pytest.mark.parametrize("turns,paired,limit", [(3, 256, 0), (2, 3, 64 << 20), (0, 2, 64 << 20)])
+def test_jaccard_join_of_unsettled_keys(spark, monkeypatch, turns, paired, limit):
+    """Texts that share a long template, so that most share keys and few link; all three ways to settle a key."""
+    monkeypatch.setattr(jaccard_join, "TURNS", turns)
+    monkeypatch.setattr(jaccard_join, "PAIRED", paired)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_LIMIT_BYTES", limit)
+    rng = random.Random(31)
+    template = words(40, rng)
+    rows = []
+    for family in range(12):
+        own = words(25, rng)
+        for _ in range(4):
+            w = [*template, *own]
+            w[rng.randrange(50, 60)] = rng.choice(VOCABULARY)
+            rows.append((len(rows), " ".join(w)))
+    rng.shuffle(rows)
+    rows = [(rng.randrange(10**6), t) for _, t in rows]
+    want, _ = plain_components(rows, 3, 70)
+    got = jaccard_join.jaccard_components(frame(spark, rows, "doc_id long, text string"), 3, 70, links=False).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want and 1 < len(set(want.values())) < len(rows)
