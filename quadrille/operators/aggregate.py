@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quadrille.functions.values import DEC, RANK, Val, let, null, number, sort_keys, term, text_of
 from quadrille.operators.relation import Info, Relation, physical
-from quadrille.plans.parser import AGGREGATES, Call
+from quadrille.plans.parser import AGGREGATES, Call, Exists
 from quadrille.terms import Var
 
 _NUM = "struct<r:int,d:decimal(38,18),f:double>"
@@ -19,8 +19,14 @@ def aggregates(e: object) -> list[Call]:
     return [e] if e.name in AGGREGATES else [x for a in e.args for x in aggregates(a)]
 
 
+def _holds_exists(e: object) -> bool:
+    return isinstance(e, Exists) or isinstance(e, Call) and any(_holds_exists(a) for a in e.args)
+
+
 def _replaced(e: object, by: dict) -> object:
-    if e in by:
+    if isinstance(e, Exists):
+        return e
+    if not _holds_exists(e) and e in by:
         return by[e]
     return Call(e.name, tuple(_replaced(a, by) for a in e.args), e.distinct, e.separator) if isinstance(e, Call) else e
 

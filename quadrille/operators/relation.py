@@ -2,19 +2,20 @@
 
 A variable's column is native where its values' kind is known (functions.values.Val); it is a term's
 spelling otherwise. `maybe` names the variables that may be unbound, that is NULL: only joins on those
-need more than an equi-join.
+need more than an equi-join: each side is split by what is bound, and the parts meet by equi-joins. No row numbers are made, which
+could differ between two reads of one side; rows are told apart by their values.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
-from itertools import count
+from itertools import combinations, count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.functions.values import SPACE, Val, term
+from quadrille.functions.values import Val, term
 
 _names = count()
 
@@ -64,6 +65,15 @@ class Relation:
         return Relation(df, {**self.vars, **new}, self.maybe)
 
 
+class Branches(Relation):
+    """A union whose parts are still known, so that a filter can be decided for each."""
+
+    def __init__(self, parts: list[Relation]):
+        self.parts = parts
+        whole = reduce(union, parts)
+        super().__init__(whole.df, whole.vars, whole.maybe)
+
+
 def unit(spark: SparkSession) -> Relation:
     return Relation(spark.range(1).select(F.lit(0).alias(physical("unit"))), {}, frozenset(), True)
 
@@ -139,25 +149,67 @@ def join(l: Relation, r: Relation) -> Relation:
         l = l.where(F.lit(False))
     l, r = _alike(l, r, shared)
     r = _apart(r)
-    loose = [n for n in shared if n in l.maybe or n in r.maybe]
     maybe = {n for n in l.maybe | r.maybe if not (n in shared and not (n in l.maybe and n in r.maybe))}
-    if len(loose) == 1 and len(shared) == 1:
-        # three equi-joins or products instead of a nested loop over everything
-        n = loose[0]
-        x, y = F.col(l.vars[n].column), F.col(r.vars[n].column)
-        parts = [l.df.join(r.df, x == y)]
-        if n in l.maybe:
-            parts.append(l.df.where(x.isNull()).crossJoin(r.df))
-        if n in r.maybe:
-            parts.append((l.df.where(x.isNotNull()) if n in l.maybe else l.df).crossJoin(r.df.where(y.isNull())))
+    if shared and not _strict(l, r, shared) and (split := _split(l, r, shared)):
+        parts = [left.join(right, on) if on is not None else left.crossJoin(right) for left, _, sides in split for right, _, on in sides]
         return _merged(l, r, reduce(DataFrame.unionByName, parts), shared, maybe)
     on = _condition(l, r, shared)
     return _merged(l, r, l.df.join(r.df, on) if on is not None else l.df.crossJoin(r.df), shared, maybe)
 
 
-def numbered(l: Relation) -> tuple[Relation, str]:
-    rid = physical("row")
-    return Relation(l.df.withColumn(rid, F.monotonically_increasing_id()), l.vars, l.maybe), rid
+#: Parts of both sides together, at most; with more variables that may be unbound, the condition stays one.
+PARTS = 16
+
+
+def _strict(l: Relation, r: Relation, shared) -> list[str]:
+    return [n for n in shared if n not in l.maybe and n not in r.maybe]
+
+
+def _by_bound(r: Relation, shared) -> list[tuple[DataFrame, frozenset[str]]]:
+    """The rows by which of the shared variables are bound."""
+    loose = [n for n in shared if n in r.maybe]
+    out = []
+    for k in range(len(loose), -1, -1):
+        for bound in combinations(loose, k):
+            df = r.df
+            for n in loose:
+                c = F.col(r.vars[n].column)
+                df = df.where(c.isNotNull() if n in bound else c.isNull())
+            out.append((df, frozenset(bound) | {n for n in shared if n not in loose}))
+    return out
+
+
+def _split(l: Relation, r: Relation, shared) -> list[tuple[DataFrame, frozenset[str], list[tuple[DataFrame, frozenset[str], Column | None]]]] | None:
+    """Parts of l, each with the parts of r and the equi-join that makes them compatible (None: all pairs are), and what is bound in them; None if there are too many."""
+    if 2 ** len([n for n in shared if n in l.maybe]) * 2 ** len([n for n in shared if n in r.maybe]) > PARTS:
+        return None
+    right = _by_bound(r, shared)
+
+    def on(a: frozenset[str], b: frozenset[str]) -> Column | None:
+        parts = [F.col(l.vars[n].column) == F.col(r.vars[n].column) for n in shared if n in a and n in b]
+        return reduce(lambda x, y: x & y, parts) if parts else None
+
+    return [(df, bound, [(other, b, on(bound, b)) for other, b in right]) for df, bound in _by_bound(l, shared)]
+
+
+def same_values(columns: list[tuple[str, str]]) -> Column:
+    """Pairs of columns with the same values, or both NULL."""
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in columns]) if columns else F.lit(True)
+
+
+def keyed(l: Relation, names: list[str]) -> tuple[Relation, list[tuple[str, str]]]:
+    """l with copies of these variables' columns, as hidden variables that no join changes; pairs (column, hidden variable)."""
+    copies = {n: physical("key") for n in names}
+    df = l.df.withColumns({c: F.col(l.vars[n].column) for n, c in copies.items()}) if copies else l.df
+    hidden = {f" key {c}": Info(c, "opaque") for c in copies.values()}
+    return Relation(df, {**l.vars, **hidden}, l.maybe), [(l.vars[n].column, f" key {c}") for n, c in copies.items()]
+
+
+def lonely(l: Relation, met: Relation, keys: list[tuple[str, str]], how: str) -> DataFrame:
+    """Rows of l whose values are (left_semi), or are not (left_anti), among those that met has in the hidden variables of keys."""
+    names = {h: physical("met") for _, h in keys}
+    seen = met.df.select(*[F.col(met.vars[h].column).alias(c) for h, c in names.items()]).distinct() if names else met.df.select(F.lit(1).alias(physical("met"))).limit(1)
+    return l.df.join(seen, same_values([(x, names[h]) for x, h in keys]), how)
 
 
 def left_join(l: Relation, r: Relation, condition=None) -> Relation:
@@ -178,12 +230,27 @@ def left_join(l: Relation, r: Relation, condition=None) -> Relation:
         df = l2.df.join(r2.df, on if on is not None else F.lit(True), "left")
         return _merged(l2, r2, df, shared, l2.maybe | set(new))
     # only variables that may be unbound are shared: match by the split join, then add the rows that met nothing
-    l, rid = numbered(l)
-    met = join(Relation(l.df, {**l.vars, " row": Info(rid, "int")}, l.maybe), r)
+    l, r = _alike(l, r, shared)
+    r = _apart(r)
+    split = _split(l, r, shared)
+    seed, keys = (l, []) if split else keyed(l, list(l.vars))
+    met = join(seed, r)
     if condition is not None:
         met = met.where(F.coalesce(condition(met), F.lit(False)))
-    lonely = l.df.join(met.df.select(F.col(met.vars[" row"].column).alias("_met")).distinct(), F.col(rid) == F.col("_met"), "left_anti")
-    return union(met.keep([n for n in met.vars if n != " row"]), Relation(lonely, l.vars, l.maybe))
+    if not split:
+        alone = lonely(l, met, keys, "left_anti")
+        return union(met.keep([n for n in met.vars if not n.startswith(" key ")]), Relation(alone, l.vars, l.maybe))
+    alone = None
+    for left, bound, sides in split:
+        for right, b, on in sides:
+            if condition is not None:
+                seen = {**r.vars, **l.vars, **{n: r.vars[n] for n in shared if n in b and n not in bound}}
+                c = condition(Relation(left, seen, l.maybe | r.maybe))
+                left = left.join(right, c if on is None else on & c, "left_anti")
+            else:
+                left = left.join(right if on is not None else right.limit(1), on if on is not None else F.lit(True), "left_anti")
+        alone = left if alone is None else alone.unionByName(left)
+    return union(met, Relation(alone, l.vars, l.maybe))
 
 
 def union(l: Relation, r: Relation) -> Relation:
@@ -220,31 +287,35 @@ def minus(l: Relation, r: Relation, ignored: frozenset[str] = frozenset()) -> Re
     if not any(n in l.maybe | r.maybe for n in shared):
         on = _condition(l, r, shared)
         return Relation(l.df.join(r.df, on, "left_anti"), l.vars, l.maybe)
-    l, rid = numbered(l)
     right = Relation(r.df.distinct(), r.vars, r.maybe)
-    some = reduce(lambda a, b: a | b, [F.col(l.vars[n].column).isNotNull() & F.col(right.vars[n].column).isNotNull() for n in shared if n not in ignored])
-    strict = [n for n in shared if n not in l.maybe and n not in r.maybe]
-    if strict or len(shared) > 1:
-        met = l.df.join(right.df, _condition(l, right, shared) & some)
-    else:
-        met = l.df.join(right.df, F.col(l.vars[shared[0]].column) == F.col(right.vars[shared[0]].column))
-    left = l.df.join(met.select(F.col(rid).alias("_met")).distinct(), F.col(rid) == F.col("_met"), "left_anti").drop(rid)
-    return Relation(left, l.vars, l.maybe)
-
-
-def semi(l: Relation, r: Relation, negated: bool) -> Relation | None:
-    """Rows of l with, or without, a compatible row in r; None if that takes more than an equi-join."""
+    counts = [n for n in shared if n not in ignored]
+    if 2 ** len([n for n in shared if n in l.maybe]) * 2 ** len([n for n in shared if n in r.maybe]) > PARTS:
+        some = reduce(lambda a, b: a | b, [F.col(l.vars[n].column).isNotNull() & F.col(right.vars[n].column).isNotNull() for n in counts])
+        return Relation(l.df.join(right.df, _condition(l, right, shared) & some, "left_anti"), l.vars, l.maybe)
+    out: DataFrame | None = None
+    for df, bound in _by_bound(l, shared):
+        for other, b in _by_bound(right, shared):
+            both = [n for n in shared if n in bound and n in b]
+            if any(n in counts for n in both):
+                df = df.join(other, reduce(lambda x, y: x & y, [F.col(l.vars[n].column) == F.col(right.vars[n].column) for n in both]), "left_anti")
+        out = df if out is None else out.unionByName(df)
+    return Relation(out, l.vars, l.maybe)
+
+
+def semi(l: Relation, r: Relation, negated: bool, condition=None) -> Relation | None:
+    """Rows of l with, or without, a compatible row in r; None if that takes more than an equi-join.
+
+    condition: None, or a function of the merged relation that gives a BOOLEAN column."""
     shared = [n for n in l.vars if n in r.vars]
     if not shared or any(n in l.maybe | r.maybe for n in shared):
         return None
-    l, r = _alike(l, r.keep(shared), shared)
+    l, r = _alike(l, r if condition is not None else r.keep(shared), shared)
     r = _apart(r)
-    return Relation(l.df.join(r.df, _condition(l, r, shared), "left_anti" if negated else "left_semi"), l.vars, l.maybe)
+    on = _condition(l, r, shared)
+    if condition is not None:
+        on = on & condition(Relation(l.df, {**r.vars, **l.vars}, l.maybe | r.maybe))
+    return Relation(l.df.join(r.df, on, "left_anti" if negated else "left_semi"), l.vars, l.maybe)
 
 
 def distinct(r: Relation) -> Relation:
     return Relation(r.df.distinct(), r.vars, r.maybe)
-
-
-def spaces(i: Info) -> str | None:
-    return SPACE.get(i.kind)

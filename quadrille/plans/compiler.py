@@ -12,17 +12,18 @@ GRAPH ?g adds a hidden variable for the graph to every pattern below it and equa
 from __future__ import annotations
 
 import datetime
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, is_dataclass, replace
 from itertools import count
 from urllib.parse import urljoin
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quadrille.functions import builtins
 from quadrille.functions.values import RANK, Val, arithmetic, compare, constant, ebv, error, negative, null, number, sort_keys, spelled_constant, term
 from quadrille.operators import aggregate, paths
-from quadrille.operators.relation import Info, Relation, distinct, empty, join, left_join, minus, numbered, physical, semi, union, unit
+from quadrille.operators.relation import Branches, Info, Relation, distinct, empty, join, keyed, left_join, lonely, minus, physical, same_values, semi, union, unit
 from quadrille.plans import parser as ast
 from quadrille.plans.parser import AGGREGATES, Call, Exists, Path, Triple
 from quadrille.terms import XSD, Blank, Iri, Literal, Var
@@ -55,6 +56,38 @@ def _has(e: object, kind) -> bool:
     return isinstance(e, kind) or isinstance(e, Call) and any(_has(a, kind) for a in e.args)
 
 
+def _mentioned(x: object) -> set[str]:
+    """All variables anywhere in a piece of syntax."""
+    if isinstance(x, Var):
+        return {x.name}
+    if isinstance(x, (list, tuple)):
+        return set().union(*map(_mentioned, x)) if x else set()
+    if is_dataclass(x):
+        return set().union(*[_mentioned(getattr(x, f.name)) for f in fields(x)]) if fields(x) else set()
+    return set()
+
+
+def _decided(e: object, r: Relation) -> bool | None:
+    """What a filter says of all rows, if the IRIs' prefixes tell; else None."""
+    if not isinstance(e, Call):
+        return None
+    if e.name in ("&&", "||"):
+        x, y = (_decided(a, r) for a in e.args)
+        strong = e.name == "||"
+        return strong if strong in (x, y) else (not strong if x is y is (not strong) else None)
+    if e.name == "!":
+        x = _decided(e.args[0], r)
+        return None if x is None else not x
+    if e.name == "STRSTARTS" and isinstance(e.args[0], Call) and e.args[0].name == "STR" and isinstance(e.args[0].args[0], Var) and isinstance(e.args[1], Literal) and e.args[1].lang is None and e.args[1].datatype is None:
+        i = r.vars.get(e.args[0].args[0].name)
+        if i is not None and i.kind == "key" and e.args[0].args[0].name not in r.maybe:
+            if i.prefix.startswith(e.args[1].lexical):
+                return True
+            if not e.args[1].lexical.startswith(i.prefix):
+                return False
+    return None
+
+
 def _conjuncts(e: object) -> list:
     return [x for a in e.args for x in _conjuncts(a)] if isinstance(e, Call) and e.name == "&&" else [e]
 
@@ -197,6 +230,10 @@ class Compiler:
         return r.with_var(name, self.value(e, r))
 
     def filtered(self, r: Relation, e: object, scope: Scope) -> Relation:
+        if isinstance(r, Branches) and not _has(e, Exists):
+            # a filter may decide about a whole branch, which then is not read
+            kept = [p if (d := _decided(e, p)) else p.where(self.truth(e, p)) for p in r.parts if (d := _decided(e, p)) is not False]
+            return Branches(kept) if kept else r.where(F.lit(False))
         for c in _conjuncts(e):
             inner = c
             negated = False
@@ -214,27 +251,43 @@ class Compiler:
         return all(isinstance(p, ast.Bgp) for p in g.parts) and bool(g.parts)
 
     def exists(self, r: Relation, e: Exists, negated: bool, scope: Scope) -> Relation:
-        if self._plain(e.group):
-            body = self.group(e.group, scope)
-            if (found := semi(r, body, negated)) is not None:
+        patterns = ast.Group([p for p in e.group.parts if not isinstance(p, ast.Filter)])
+        tests = [p.expr for p in e.group.parts if isinstance(p, ast.Filter)]
+        if self._plain(patterns) and not any(_has(t, Exists) for t in tests):
+            body = self.group(patterns, scope)
+            # a filter in the body sees the row's bindings too: it is a part of the join's condition
+            if (found := semi(r, body, negated, (lambda both: self._all(tests, both)) if tests else None)) is not None:
                 return found
-        r, rid = numbered(r)
-        met = self.met_rows(r, rid, e, scope)
-        return Relation(r.df.join(met, F.col(rid) == F.col("_met"), "left_anti" if negated else "left_semi").drop(rid), r.vars, r.maybe)
-
-    def met_rows(self, r: Relation, rid: str, e: Exists, scope: Scope) -> DataFrame:
-        """Ids of rows for which the body has a solution: it is solved with the row's bindings in it, as substitution says."""
-        seeded = self.group(e.group, scope, Relation(r.df, {**r.vars, " row": Info(rid, "int")}, r.maybe))
-        return seeded.df.select(F.col(seeded.vars[" row"].column).alias("_met")).distinct()
+        met, keys = self.met_rows(r, e, scope)
+        return Relation(lonely(r, met, keys, "left_anti" if negated else "left_semi"), r.vars, r.maybe)
+
+    def _all(self, tests: list, r: Relation) -> Column:
+        out = self.truth(tests[0], r)
+        for t in tests[1:]:
+            out = out & self.truth(t, r)
+        return out
+
+    def met_rows(self, r: Relation, e: Exists, scope: Scope) -> tuple[Relation, list[tuple[str, str]]]:
+        """What the body gives for the distinct bindings of the variables that it mentions: it is solved with them in it, as substitution says."""
+        used = _mentioned(e.group)
+        names = [n for n in r.vars if n in used or n == scope.name]
+        few = r.keep(names) if names else unit(self.spark)
+        seed, keys = keyed(distinct(few) if names else few, names)
+        if not names:
+            seed = unit(self.spark)
+        return self.group(e.group, scope, seed), [(r.vars[n].column, h) for n, (_, h) in zip(names, keys, strict=True)]
 
     def marked(self, e: object, r: Relation, scope: Scope) -> tuple[Relation, object]:
         """EXISTS inside an expression becomes a flag."""
         if not _has(e, Exists):
             return r, e
         if isinstance(e, Exists):
-            r, rid = numbered(r)
             flag = physical("exists")
-            df = r.df.join(self.met_rows(r, rid, e, scope).withColumn(flag, F.lit(True)), F.col(rid) == F.col("_met"), "left").drop("_met", rid)
+            met, keys = self.met_rows(r, e, scope)
+            names = {h: physical("met") for _, h in keys}
+            seen = met.df.select(*[F.col(met.vars[h].column).alias(c) for h, c in names.items()]).distinct() if names else met.df.select(F.lit(1).alias(physical("met"))).limit(1)
+            seen = seen.withColumn(flag, F.lit(True))
+            df = r.df.join(seen, same_values([(x, names[h]) for x, h in keys]), "left").drop(*[c for c in seen.columns if c != flag])
             mark = Call("!MARK", (flag,))
             return Relation(df, r.vars, r.maybe), Call("!", (mark,)) if e.negated else mark
         args = []
@@ -255,22 +308,13 @@ class Compiler:
         for x in own:
             body = body.where(self.truth(x, body))
         if any(_has(x, Exists) for x in cross):
-            r, rid = numbered(r)
-            met = join(Relation(r.df, {**r.vars, " row": Info(rid, "int")}, r.maybe), body)
+            seed, keys = keyed(r, list(r.vars))
+            met = join(seed, body)
             for x in cross:
                 met = self.filtered(met, x, scope)
-            lonely = r.df.join(met.df.select(F.col(met.vars[" row"].column).alias("_met")).distinct(), F.col(rid) == F.col("_met"), "left_anti")
-            return union(met.keep([n for n in met.vars if n != " row"]), Relation(lonely, r.vars, r.maybe))
-        condition = None
-        if cross:
-
-            def condition(both: Relation) -> Column:
-                out = self.truth(cross[0], both)
-                for x in cross[1:]:
-                    out = out & self.truth(x, both)
-                return out
-
-        return left_join(r, body, condition)
+            alone = Relation(lonely(r, met, keys, "left_anti"), r.vars, r.maybe)
+            return union(met.keep([n for n in met.vars if not n.startswith(" key ")]), alone)
+        return left_join(r, body, (lambda both: self._all(cross, both)) if cross else None)
 
     def graph(self, part: ast.Graph, scope: Scope) -> Relation:
         if isinstance(part.name, Iri):
@@ -354,6 +398,23 @@ class Compiler:
         if grouped:
             if select is None:
                 raise UnsupportedQuery("SELECT * with GROUP BY")
+            # EXISTS inside an aggregate or a key is solved before the groups are made
+            def solved(e: object) -> object:
+                nonlocal r
+                if not _has(e, Exists) or not isinstance(e, Call):
+                    return e
+                if e.name in AGGREGATES:
+                    r, e = self.marked(e, r, scope)
+                    return e
+                return Call(e.name, tuple(solved(a) for a in e.args), e.distinct, e.separator)
+
+            keys = []
+            for e, v in q.group_by:
+                r, e = self.marked(e, r, scope)
+                keys.append((e, v))
+            q = replace(q, group_by=keys)
+            select = [(v, e if e is None else solved(e)) for v, e in select]
+            having, order = [solved(h) for h in having], [(solved(e), d) for e, d in order]
             r, select, having, order = aggregate.grouped(self, q, r, select, having, order, keep)
         for h in having:
             r = self.filtered(r, h, scope)
@@ -373,6 +434,9 @@ class Compiler:
                     r = r.with_var(v.name, error())
                 names.append(v.name)
         names = [*names, *[k for k in keep if k in r.vars]]
+        for k, (e, down) in enumerate(order):
+            r, e = self.marked(e, r, scope)
+            order[k] = (e, down)
         keys = [(c, down) for e, down in order for c in sort_keys(self.value(e, r))]
         if q.distinct or q.reduced:
             sort = [(physical("sort"), c, down) for c, down in keys]
@@ -386,9 +450,13 @@ class Compiler:
                 df = r.df.withColumns({n: c for n, c, _ in sort})
                 least = F.struct(*[F.col(n) for n, _, _ in sort])
                 downs = {d for _, _, d in sort}
-                pick = F.max(least) if downs == {True} else F.min(least)
-                held = physical("first")
-                df = df.groupBy(*[r.vars[n].column for n in names]).agg(pick.alias(held))
+                held, shown_columns = physical("first"), [r.vars[n].column for n in names]
+                if len(downs) == 1:
+                    df = df.groupBy(*shown_columns).agg((F.max(least) if downs == {True} else F.min(least)).alias(held))
+                else:  # no least struct says which comes first if the directions differ
+                    turn = physical("turn")
+                    first = Window.partitionBy(*shown_columns).orderBy(*[F.col(n).desc_nulls_last() if d else F.col(n).asc_nulls_first() for n, _, d in sort])
+                    df = df.withColumn(turn, F.row_number().over(first)).where(F.col(turn) == 1).select(*shown_columns, least.alias(held))
                 r = Relation(df, shown.vars, shown.maybe)
                 keys = [(F.col(held)[n], d) for n, _, d in sort]
         df = r.df
@@ -411,15 +479,15 @@ class Compiler:
 
     def construct(self, q: ast.Query) -> DataFrame:
         r = self.solution_modifiers(ast.Query("SELECT", q.where, None, group_by=[], having=q.having, order_by=q.order_by, limit=q.limit, offset=q.offset, values=q.values), self.group(q.where, DEFAULT), DEFAULT, ())
-        r, rid = numbered(r)
-        out: DataFrame | None = None
-        for t in q.template:
-            cols = [self.template_term(x, r, rid) for x in (t.s, t.p, t.o)]
-            part = r.df.select(cols[0].alias("s"), cols[1].alias("p"), cols[2].alias("o"))
-            # ill-formed triples are left out
-            part = part.where(F.col("s").isNotNull() & ~F.col("s").startswith('"') & F.col("p").startswith("<") & F.col("o").isNotNull())
-            out = part if out is None else out.unionByName(part)
-        return out.distinct() if out is not None else self.spark.createDataFrame([], "s string, p string, o string")
+        if not q.template:
+            return self.spark.createDataFrame([], "s string, p string, o string")
+        # all triples of a solution in one pass, so that its blank nodes have one number
+        rid = physical("row")
+        numbered = r.df.withColumn(rid, F.monotonically_increasing_id())
+        triples = [F.struct(*[self.template_term(x, r, rid).alias(c) for c, x in zip("spo", (t.s, t.p, t.o), strict=True)]) for t in q.template]
+        out = numbered.select(F.explode(F.array(*triples)).alias("t")).select("t.s", "t.p", "t.o")
+        # ill-formed triples are left out
+        return out.where(F.col("s").isNotNull() & ~F.col("s").startswith('"') & F.col("p").startswith("<") & F.col("o").isNotNull()).distinct()
 
     def template_term(self, x: object, r: Relation, rid: str) -> Column:
         if isinstance(x, Var):

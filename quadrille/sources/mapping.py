@@ -8,14 +8,17 @@ subjects are joins on keys, and filters on literals are comparisons of columns.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quadrille.functions.values import Val, constant, term
-from quadrille.operators.relation import Info, Relation, disjoint, empty, physical, union
+from quadrille.operators.relation import Branches, Info, Relation, disjoint, empty, physical, union
 from quadrille.plans.parser import Triple
 from quadrille.terms import Iri, Literal, Term, Var
 
@@ -41,6 +44,29 @@ class Table:
             return F.col(self.key[0])
         return F.concat_ws("/", *[F.col(k).cast("string") for k in self.key])
 
+    def is_subject(self, t: Term) -> Column | None:
+        """The row is that resource; None if no row is. The parts of a key are compared one by one."""
+        if not isinstance(t, Iri) or not t.value.startswith(self.prefix):
+            return None
+        rest = t.value[len(self.prefix) :]
+        kinds = [self.df.schema[k].dataType for k in self.key]
+        if len(self.key) > 1 and any(isinstance(k, T.StringType) for k in kinds):
+            return self.subject() == F.lit(rest)  # a text may hold the separator
+        parts = rest.split("/") if len(self.key) > 1 else [rest]
+        if len(parts) != len(self.key):
+            return None
+        found = [same_key(F.col(k), kind, x) for k, kind, x in zip(self.key, kinds, parts, strict=True)]
+        return None if any(c is None for c in found) else reduce(lambda a, b: a & b, found)
+
+    def is_object(self, predicate: str, v: Val, t: Term) -> Column | None:
+        """The predicate's object is that term; None if it never is."""
+        if v.kind != "key":
+            return equals(v, t)
+        if not isinstance(t, Iri) or not t.value.startswith(v.prefix):
+            return None
+        column = predicate.removeprefix("urn:p:")
+        return same_key(F.col(column), self.df.schema[column].dataType, t.value[len(v.prefix) :])
+
     def objects(self) -> dict[str, Val]:
         """By predicate."""
         out: dict[str, Val] = {}
@@ -163,7 +189,7 @@ class MappedSource:
         conditions: list[Column] = []
         subject = Val("key", t.subject(), t.prefix)
 
-        def meet(x: object, v: Val) -> bool:
+        def meet(x: object, v: Val, same: Callable[[Term], Column | None]) -> bool:
             """False if nothing can match."""
             if isinstance(x, Var):
                 if x.name in bound:
@@ -174,18 +200,18 @@ class MappedSource:
                 else:
                     bound[x.name] = v
                 return True
-            c = equals(v, x)
+            c = same(x)
             if c is None:
                 return False
             conditions.append(c)
             return True
 
-        if not meet(ts[0].s, subject):
+        if not meet(ts[0].s, subject, t.is_subject):
             return None
         for x in ts:
             v = self._objects[t.name][x.p.value]
             conditions.append(v.col.isNotNull())
-            if not meet(x.o, v):
+            if not meet(x.o, v, partial(t.is_object, x.p.value, v)):
                 return None
         conditions += [F.col(k).isNotNull() for k in t.key]
         df = t.df
@@ -201,17 +227,51 @@ class MappedSource:
         return Relation(df.select(*columns) if columns else df.select(F.lit(0).alias(physical("unit"))), infos)
 
     def _any(self, spark: SparkSession, t: Triple, scope) -> Relation:
-        """A variable predicate: all columns, as terms."""
-        only = None
-        if isinstance(t.s, Iri):
-            only = next((x.name for x in self.tables.values() if t.s.value.startswith(x.prefix)), "")
-        from quadrille.sources.quads import QuadSource
+        """A variable predicate: all columns. One branch for each table and graph, so that subjects stay keys and tables can be left out."""
+        parts = [p for table in self.tables.values() for g in self._placed(table, scope) if (p := self._columns(table, t, g if scope.kind == "var" else None, scope)) is not None]
+        if parts:
+            return Branches(parts)
+        return empty(spark, dict.fromkeys([x.name for x in (t.s, t.p, t.o) if isinstance(x, Var)] + ([scope.name] if scope.kind == "var" else [])))
+
+    def _columns(self, table: Table, t: Triple, g: str | None, scope) -> Relation | None:
+        df = table.df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in table.key]))
+        if isinstance(t.s, (Iri, Literal)):
+            if (c := table.is_subject(t.s)) is None:
+                return None
+            df = df.where(c)
+        objects = self._objects[table.name]
+        if isinstance(t.o, (Iri, Literal)):
+            fits = {p: c for p, v in objects.items() if (c := table.is_object(p, v, t.o)) is not None}
+            if not fits:
+                return None
+            df = df.where(reduce(lambda a, b: a | b, fits.values()))
+            objects = {p: Val("term", F.when(c, F.lit(t.o.spelled()))) for p, c in fits.items()}
+        pairs = F.array(*[F.struct(F.lit(f"<{p}>").alias("p"), term(v).alias("o")) for p, v in objects.items()])
+        s, x = physical("s"), physical("x")
+        df = df.select(table.subject().alias(s), F.explode(pairs).alias(x)).where(F.col(x)["o"].isNotNull())
+        values = [(t.s, Val("key", F.col(s), table.prefix)), (t.p, Val("term", F.col(x)["p"])), (t.o, Val("term", F.col(x)["o"]))]
+        if g is not None:
+            values.append((Var(scope.name), Val("iri", F.lit(g))))
+        bound: dict[str, Val] = {}
+        for name, v in [(y.name, v) for y, v in values if isinstance(y, Var)]:
+            if name in bound:
+                df = df.where(term(bound[name]) == term(v))
+            else:
+                bound[name] = v
+        infos = {n: Info(physical(n), v.kind, v.prefix) for n, v in bound.items()}
+        return Relation(df.select(*[v.col.alias(infos[n].column) for n, v in bound.items()]) if bound else df.select(F.lit(0).alias(physical("unit"))), infos)
+
+
+_INTEGER = re.compile(r"0|-?[1-9][0-9]{0,17}")
 
-        class Flat(QuadSource):
-            def triples(self, _) -> DataFrame:
-                return self.df
 
-        return Flat(self.triples(scope, only)).match(spark, [t], scope)
+def same_key(c: Column, kind: T.DataType, text: str) -> Column | None:
+    """The column's value is written so; None if none is. Numbers are compared as such, so that the filter reaches the scan."""
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return c == F.lit(int(text)) if _INTEGER.fullmatch(text) else None
+    if isinstance(kind, T.StringType):
+        return c == F.lit(text)
+    return c.cast("string") == F.lit(text)
 
 
 def equals(v: Val, t: Term) -> Column | None:
@@ -222,9 +282,6 @@ def equals(v: Val, t: Term) -> Column | None:
         if not isinstance(t, Iri) or not t.value.startswith(v.prefix):
             return None
         rest = t.value[len(v.prefix) :]
-        # a number is compared as one, so that the filter reaches the scan; its text decides
-        if rest.isdigit() and len(rest) < 19 and str(int(rest)) == rest:
-            return v.col == F.lit(int(rest))
         return v.col.cast("string") == rest
     if not isinstance(t, Literal):
         return None
