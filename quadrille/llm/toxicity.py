@@ -35,7 +35,7 @@ FACTORS = 8
 TERMS, Z = 4096, 3.0
 #: Pairs are tested among so many terms, the most frequent ones of neither all nor few rows; their least standard
 #: score is higher, as there are millions of them; and at most so many terms enter by them.
-PAIR_TERMS, PAIR_Z, PAIRED = 2048, 7.0, 512
+PAIR_TERMS, PAIR_Z, PAIRED = 1024, 7.0, 512
 
 
 def _terms(texts: Sequence[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -145,19 +145,23 @@ def _paired(docs: Sequence[np.ndarray], labels: np.ndarray, every: np.ndarray, o
         return np.empty(0, np.int64)
     place = np.full(1 << BITS, -1, np.int64)
     place[some] = np.arange(k)
-    x = np.zeros((n, k), np.float32)
-    for i, d in enumerate(docs):
-        at = place[d]
-        x[i, at[at >= 0]] = 1
-    hit = x[labels > 0]
-    z = np.abs(_standard((x.T @ x).astype(np.float64).ravel(), (hit.T @ hit).astype(np.float64).ravel(), n, ones)).reshape(k, k)
+    together, in_ones = np.zeros((k, k)), np.zeros((k, k))
+    for a in range(0, n, 1024):
+        x = np.zeros((min(1024, n - a), k), np.float32)
+        for i, d in enumerate(docs[a : a + 1024]):
+            at = place[d]
+            x[i, at[at >= 0]] = 1
+        together += x.T @ x
+        x = x[labels[a : a + 1024] > 0]
+        in_ones += x.T @ x
+    z = np.abs(_standard(together.ravel(), in_ones.ravel(), n, ones)).reshape(k, k)
     alone = np.diag(z).copy()
     z = np.triu(np.where(z > np.maximum(alone[:, None], alone[None, :]) + 2, z, 0), 1)
     a, b = np.nonzero(z >= PAIR_Z)
     order = np.argsort(-z[a, b], kind="stable")
-    both = np.column_stack((a[order], b[order])).reshape(-1)
-    _, first = np.unique(both, return_index=True)
-    return some[both[np.sort(first)[:PAIRED]]]
+    ends = np.column_stack((a[order], b[order])).reshape(-1)
+    _, first = np.unique(ends, return_index=True)
+    return some[ends[np.sort(first)[:PAIRED]]]
 
 
 def held_out(id: Column) -> Column:
@@ -179,9 +183,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "d
                 found += [term[edges[i] : edges[i + 1]].astype("<i4").tobytes() for i in range(n)]
             yield pa.RecordBatch.from_arrays([b.column("_id").cast(pa.string()), b.column("_y"), pa.array(found, pa.binary())], names=["id", "y", "terms"])
 
-    # ids may repeat in docs, with other texts: the bound goes by hash, so it is the same rows each time
-    found = map_arrow(rows, each, "id string, y double, terms binary").orderBy(F.xxhash64("id"), "id", F.xxhash64("terms"), "terms", "y").limit(sample)
-    got = sorted((r["id"], r["y"], bytes(r["terms"])) for r in found.collect())
+    # ids may repeat in docs, with other texts: then the bound goes by hash, so it is the same rows each time
+    if rows.count() > sample:
+        rows = rows.orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_text"), "_text", "_y").limit(sample)
+    got = sorted((r["id"], r["y"], bytes(r["terms"])) for r in map_arrow(rows, each, "id string, y double, terms binary").toLocalIterator())
     return fit([np.frombuffer(t, "<i4") for _, _, t in got], np.array([y for _, y, _ in got]))
 
 
