@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.operators.relation import Info, Relation, join, physical, union
@@ -13,11 +13,19 @@ from quadrille.plans.parser import Path, Triple
 from quadrille.terms import Iri, Literal, Var
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir; where none is set, a temporary folder if all runs in one process, as in tests, else an error."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: executors on other machines need a shared folder")
+    return (root or "file://" + os.path.join(tempfile.gettempdir(), "quadrille-checkpoints")).rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """A checkpoint in the session's folder; only where none is set, as in tests, in a temporary one."""
+    """A checkpoint in the session's folder."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or "file://" + os.path.join(tempfile.gettempdir(), "quadrille-checkpoints"))
+        sc.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()
 
 

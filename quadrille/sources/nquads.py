@@ -42,10 +42,11 @@ def _spelled(t: Column) -> Column:
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """(s, p, o, g, bad): bad is the line where it is no statement. Blank lines and comments are left out."""
     c = F.col(column)
-    kept = lines.where(~c.rlike(r"^\s*(#.*)?$"))
+    blank = c.rlike(r"^\s*(#.*)?$")
+    kept = lines.where(~blank)
     ok = c.rlike(LINE)
     part = lambda i: _spelled(F.when(ok, F.regexp_extract(c, LINE, i)))
-    return kept.select(part(1).alias("s"), part(2).alias("p"), part(3).alias("o"), part(4).alias("g"), F.when(~ok, c).alias("bad"))
+    return kept.select(part(1).alias("s"), part(2).alias("p"), part(3).alias("o"), part(4).alias("g"), F.when(~ok & ~blank, c).alias("bad"))  # filters may be tried in any order: a blank line is never bad
 
 
 def read_nquads(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from quadrille.engine import query as run_query
 from quadrille.plans.compiler import DEFAULT, Scope
 from quadrille.sources.nquads import read_nquads
-from quadrille.sources.quads import QuadSource
+from quadrille.sources.quads import CodedSource, QuadSource
 from quadrille.terms import BAD_IRI, Blank, Iri, Literal, Term
 
 LAYOUTS = ("spelled", "dictionary")
+#: Predicates whose statements are counted for the order of joins, the most frequent ones.
+KNOWN_PREDICATES = 10_000
 
 
 class ReadOnly(TypeError):
@@ -78,13 +80,20 @@ def build(spark: SparkSession, quads: DataFrame | str, path: str, layout: str =
             df = df.join(terms.select(F.col("term").alias(c), F.col("code").alias(f"{c}_code")), c).drop(c).withColumnRenamed(f"{c}_code", c)
         df.select("s", "p", "o", "g").write.mode("overwrite").parquet(raw)
     quads_ = spelled_quads(spark, path, layout)
-    counts = {r["p"]: r["n"] for r in quads_.groupBy("p").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(10_000).collect()}
+    counts = {r["p"]: r["n"] for r in quads_.groupBy("p").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(KNOWN_PREDICATES).collect()}
     total = quads_.count()
     repeats = quads_.select("s", "p", "o").distinct().count() != total
-    meta = {"layout": layout, "quads": total, "repeats": repeats, "by_object": by_object and layout == "spelled", "counts": counts}
+    write_meta(spark, path, {"layout": layout, "quads": total, "repeats": repeats, "by_object": by_object and layout == "spelled", "counts": counts})
+
+
+def write_meta(spark: SparkSession, path: str, meta: dict) -> None:
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_meta")
 
 
+def read_meta(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(f"{path}/_meta").first()[0])
+
+
 def spelled_quads(spark: SparkSession, path: str, layout: str) -> DataFrame:
     df = spark.read.parquet(f"{path}/quads")
     if layout == "spelled":
@@ -105,7 +114,7 @@ class RdfStore:
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, **options) -> RdfStore:
-        meta = json.loads(spark.read.text(f"{path}/_meta").first()[0])
+        meta = read_meta(spark, path)
         return cls(spark, spelled_quads(spark, path, meta["layout"]), Options(**options), meta, path)
 
     @classmethod
@@ -128,8 +137,18 @@ class RdfStore:
         self.df.unpersist()
         self.closed = True
 
+    def _open(self) -> None:
+        if self.closed:
+            raise ValueError("the store is closed")
+
     def source(self, union: bool | None = None) -> QuadSource:
-        return QuadSource(self.df, self.options.union if union is None else union, self.meta.get("repeats", True), self.meta.get("counts"))
+        self._open()
+        union = self.options.union if union is None else union
+        repeats, counts = self.meta.get("repeats", True), self.meta.get("counts")
+        if self.layout == "dictionary" and not self.options.in_memory:
+            return CodedSource(self.spark.read.parquet(f"{self.path}/quads"), self.spark.read.parquet(f"{self.path}/terms"), union, repeats, counts)
+        by_object = self.spark.read.parquet(f"{self.path}/by_object") if self.meta.get("by_object") and not self.options.in_memory else None
+        return QuadSource(self.df, union, repeats, counts, by_object=by_object)
 
     def query(self, text: str, bindings: dict[str, Term] | None = None, union: bool | None = None, **more) -> DataFrame:
         return run_query(self.spark, self.source(union), text, bindings, **more)
@@ -148,6 +167,7 @@ class RdfStore:
 
     def quads(self, s: Term | None = None, p: Term | None = None, o: Term | None = None, g: str | None = None) -> DataFrame:
         """Statements of a pattern, as (s, p, o, graphs): a triple in several graphs is one row."""
+        self._open()
         df = self.df if g is None else self.df.where(F.col("g") == g)
         if isinstance(s, Literal) or p is not None and not isinstance(p, Iri) or any(isinstance(x, Iri) and BAD_IRI.search(x.value) for x in (s, p, o)):
             df = df.where(F.lit(False))

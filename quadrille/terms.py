@@ -1,9 +1,8 @@
-"""RDF terms and their internal spelling.
+"""RDF terms, and the strings that stand for them in columns.
 
-A term is spelled `<iri>`, `_:label`, `"lexical"`, `"lexical"@tag` or `"lexical"^^<datatype>`, the lexical form
-unescaped. The spelling is unambiguous, as neither a tag nor a datatype holds a quotation mark, and it
-is the term's identity: two terms are one if their spellings are equal. Tags are in lower case, and
-`xsd:string` is not written.
+`<iri>`, `_:label`, `"text"`, `"text"@tag`, `"text"^^<datatype>`: one string for each term, so that Spark joins, groups and
+compares terms as plain strings. Texts are written as they are, without escapes, tags in lower case; a
+datatype of `xsd:string` is left out.
 """
 
 from __future__ import annotations
@@ -55,8 +54,9 @@ Term = Iri | Blank | Literal
 TRUE, FALSE = Literal("true", XSD + "boolean"), Literal("false", XSD + "boolean")
 
 _SPELLED = re.compile(r'"(.*)"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?', re.DOTALL)
-_ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|(.))", re.DOTALL)
+# What the letters after a back slash stand for.
 _ESCAPED = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
+_CODE_DIGITS = {"u": 4, "U": 8}
 #: Characters that no IRI has.
 BAD_IRI = re.compile(r'[\x00-\x20<>"{}|^`\\]')
 
@@ -73,17 +73,22 @@ def term(spelled: str) -> Term:
 
 
 def unescape(text: str) -> str:
-    if "\\" not in text:
-        return text
-
-    def one(m: re.Match) -> str:
-        if m[3]:
-            if m[3] not in _ESCAPED:
-                raise ValueError(f"escape \\{m[3]}")
-            return _ESCAPED[m[3]]
-        return chr(int(m[1] or m[2], 16))
-
-    return _ESCAPE.sub(one, text)
+    out, at = [], 0
+    while (k := text.find("\\", at)) >= 0:
+        out.append(text[at:k])
+        mark = text[k + 1 : k + 2]
+        if n := _CODE_DIGITS.get(mark):
+            digits = text[k + 2 : k + 2 + n]
+            if not re.fullmatch(f"[0-9A-Fa-f]{{{n}}}", digits):
+                raise ValueError(f"escape \\{mark}{digits}")
+            out.append(chr(int(digits, 16)))
+            at = k + 2 + n
+        elif mark in _ESCAPED:
+            out.append(_ESCAPED[mark])
+            at = k + 2
+        else:
+            raise ValueError(f"escape \\{mark}")
+    return "".join([*out, text[at:]])
 
 
 def ntriples(t: Term) -> str:
