@@ -1,10 +1,11 @@
-"""The registered queries: SPARQL over the RDF view of the driver's tables, and the SQL that says the same.
+"""The registered queries: SPARQL over the RDF view of the driver's tables, and over stores built from it, and the SQL that says the same.
 
 Sums of doubles depend on the order of addition, so both sides round them to two places.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -12,7 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.engine import query
+from quadrille.operators.paths import shared_root
+from quadrille.plans.compiler import Scope
 from quadrille.sources.mapping import MappedSource, warehouse
+from quadrille.sources.store import RdfStore, build
+from quadrille.terms import Iri
 
 
 @dataclass(frozen=True)
@@ -59,8 +64,14 @@ ENTRIES: dict[str, Entry] = {
     "shared_literal": Entry("SELECT (COUNT(*) AS ?n) { ?a :c_nationkey_lit ?k . ?b :s_nationkey_lit ?k }", "SELECT count(*) AS n FROM customer JOIN supplier ON c_nationkey = s_nationkey"),
     "filter_range": Entry("SELECT ?l ?q { ?l :l_quantity ?q ; :l_discount ?d FILTER(?q >= 10 && ?q < 12 && ?d > 0.05) }", "SELECT 'urn:t:lineitem/' || l_orderkey || '/' || l_linenumber || '/' || l_partkey || '/' || l_suppkey || '/' || strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l, l_quantity AS q FROM lineitem WHERE l_quantity >= 10 AND l_quantity < 12 AND l_discount > 0.05"),
     "filter_arith": Entry("SELECT ?o ?t { ?o :o_totalprice ?t ; :o_orderkey ?k FILTER(?t * 2 + ?k > 400000) }", f"SELECT {IRI_O} AS o, o_totalprice AS t FROM orders WHERE o_totalprice * 2 + o_orderkey > 400000"),
-    "filter_class": Entry("SELECT ?x (COUNT(*) AS ?n) { t:customer\\/5 ?p ?o BIND(IF(isIRI(?o), \"iri\", IF(isNumeric(?o), \"number\", \"text\")) AS ?x) } GROUP BY ?x", "SELECT x, count(*) AS n FROM (SELECT unnest(['iri', 'number', 'number', 'number', 'text', 'text']) AS x) GROUP BY x"),
-    "filter_datatype": Entry("SELECT ?n (COUNT(*) AS ?k) { ?s ?p ?o FILTER(STRSTARTS(STR(?s), \"urn:t:nation/\")) BIND(STR(DATATYPE(?o)) AS ?n) } GROUP BY ?n", "SELECT d AS n, CAST(sum(k) AS BIGINT) AS k FROM (SELECT 'http://www.w3.org/2001/XMLSchema#integer' AS d, 2 * count(*) AS k FROM nation UNION ALL SELECT 'http://www.w3.org/2001/XMLSchema#string', count(*) FROM nation UNION ALL SELECT NULL, count(*) FROM nation) GROUP BY d"),
+    "filter_class": Entry(
+        'SELECT ?x (COUNT(*) AS ?n) { ?c ?p ?o FILTER(STRSTARTS(STR(?c), "urn:t:customer/")) BIND(IF(isIRI(?o), "iri", IF(isNumeric(?o), "number", "text")) AS ?x) } GROUP BY ?x',
+        "SELECT x, sum(n) AS n FROM (SELECT unnest(['iri', 'number', 'text']) AS x, unnest([count(c_nationkey), count(c_custkey) + count(c_nationkey) + count(c_acctbal), count(c_name) + count(c_mktsegment)]) AS n FROM customer) GROUP BY x",
+    ),
+    "filter_datatype": Entry(
+        'SELECT ?n (COUNT(*) AS ?k) { ?s ?p ?o FILTER(STRSTARTS(STR(?s), "urn:t:orders/")) BIND(STR(DATATYPE(?o)) AS ?n) } GROUP BY ?n',
+        "SELECT CASE WHEN n <> '' THEN 'http://www.w3.org/2001/XMLSchema#' || n END AS n, k FROM (SELECT unnest(['integer', 'double', 'string', 'dateTime', '']) AS n, unnest([count(o_orderkey) + count(o_custkey), count(o_totalprice), count(o_orderstatus) + count(o_orderpriority), count(o_orderdate), count(o_custkey)]) AS k FROM orders)",
+    ),
     "filter_regex": Entry("SELECT ?n { ?p :p_name ?n FILTER REGEX(?n, \"^part_1[0-9]*5$\", \"i\") }", "SELECT p_name AS n FROM part WHERE regexp_matches(p_name, '^part_1[0-9]*5$', 'i')"),
     "filter_lang": Entry("SELECT ?d (LANG(?t) AS ?l) { ?d :text ?t ; :source ?s FILTER langMatches(LANG(?t), \"de\") }", "SELECT 'urn:t:documents/' || doc_id AS d, lang AS l FROM documents WHERE lang = 'de'", tags=True),
     "filter_in": Entry('SELECT ?k (COUNT(*) AS ?n) { ?o :o_orderpriority ?k FILTER(?k IN ("1-URGENT", "2-HIGH") ) } GROUP BY ?k', "SELECT o_orderpriority AS k, count(*) AS n FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1"),
@@ -96,6 +107,18 @@ ENTRIES: dict[str, Entry] = {
     "select_expression": Entry("SELECT (CONCAT(?n, \"!\") AS ?x) { ?r :r_name ?n }", "SELECT r_name || '!' AS x FROM region"),
     "subselect": Entry("SELECT ?n ?k { ?c :c_name ?n { SELECT ?c (COUNT(?o) AS ?k) { ?o :o_custkey ?c } GROUP BY ?c HAVING(COUNT(?o) > 15) } }", "SELECT c_name AS n, count(*) AS k FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_name HAVING count(*) > 15"),
     "skewed_join": Entry("SELECT (COUNT(*) AS ?n) { ?a :o_orderstatus ?x . ?b :l_linestatus ?x }", "SELECT count(*) AS n FROM orders JOIN lineitem ON o_orderstatus = l_linestatus"),
+    "composite_key": Entry("SELECT ?r ?x { t:conversations\\/1\\/0 :role ?r ; :text ?x }", "SELECT role AS r, text AS x FROM conversations WHERE conv_id = 1 AND turn = 0"),
+    "ill_formed_key": Entry("SELECT ?r { t:conversations\\/1 ?p ?r }", "SELECT role AS r FROM conversations WHERE false"),
+    "any_object": Entry("SELECT ?s (STR(?p) AS ?x) { ?s ?p t:nation\\/3 }", "SELECT '<urn:t:customer/' || c_custkey || '>' AS s, 'urn:p:c_nationkey' AS x FROM customer WHERE c_nationkey = 3 UNION ALL SELECT '<urn:t:supplier/' || s_suppkey || '>', 'urn:p:s_nationkey' FROM supplier WHERE s_nationkey = 3"),
+    "exists_in_optional": Entry("SELECT ?n ?o { ?c :c_name ?n OPTIONAL { ?o :o_custkey ?c FILTER EXISTS { ?l :l_orderkey ?o ; :l_quantity ?q FILTER(?q > 49) } } }", f"SELECT c_name AS n, {IRI_O} AS o FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 49)"),
+    "exists_union": Entry('SELECT ?n { ?k :n_name ?n FILTER EXISTS { { ?c :c_nationkey ?k ; :c_acctbal ?b FILTER(?b > 9900) } UNION { ?s :s_nationkey ?k ; :s_acctbal ?b FILTER(?b > 9900) } } }', "SELECT n_name AS n FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900 UNION SELECT s_nationkey FROM supplier WHERE s_acctbal > 9900)"),
+    "having_exists": Entry('SELECT ?c (COUNT(*) AS ?n) { ?o :o_custkey ?c } GROUP BY ?c HAVING(COUNT(*) > 5 && EXISTS { ?c :c_mktsegment "BUILDING" })', "SELECT 'urn:t:customer/' || o_custkey AS c, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING' GROUP BY o_custkey HAVING count(*) > 5"),
+    "order_exists": Entry("SELECT ?n { ?c :c_name ?n ; :c_custkey ?k } ORDER BY DESC(EXISTS { ?o :o_custkey ?c ; :o_totalprice ?t FILTER(?t > 400000) }) ?k LIMIT 10", "SELECT c_name AS n FROM customer ORDER BY EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000) DESC, c_custkey LIMIT 10"),
+    "aggregate_exists": Entry("SELECT ?m (SUM(IF(EXISTS { ?o :o_custkey ?c }, 1, 0)) AS ?n) { ?c :c_mktsegment ?m } GROUP BY ?m", "SELECT c_mktsegment AS m, CAST(sum(CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 1 ELSE 0 END) AS BIGINT) AS n FROM customer GROUP BY 1"),
+    "values_undef_two": Entry('SELECT ?s ?k (COUNT(*) AS ?n) { VALUES (?s ?k) { ("BUILDING" UNDEF) (UNDEF 3) } { SELECT ?s ?k { ?c :c_mktsegment ?s ; :c_nationkey_lit ?k } } } GROUP BY ?s ?k', "SELECT c_mktsegment AS s, CAST(c_nationkey AS BIGINT) AS k, count(*) * (CASE WHEN c_mktsegment = 'BUILDING' AND c_nationkey = 3 THEN 2 ELSE 1 END) AS n FROM customer WHERE c_mktsegment = 'BUILDING' OR c_nationkey = 3 GROUP BY c_mktsegment, c_nationkey"),
+    "truth_values": Entry('SELECT ?n (IF(?n, "yes", "no") AS ?a) (IF(?k, "yes", "no") AS ?b) (IF(?k - ?k, "yes", "no") AS ?c) (IF(SUBSTR(?n, 99), "yes", "no") AS ?d) { ?r :r_name ?n ; :r_regionkey ?k }', "SELECT r_name AS n, 'yes' AS a, CASE WHEN r_regionkey <> 0 THEN 'yes' ELSE 'no' END AS b, 'no' AS c, 'no' AS d FROM region"),
+    "graph_position": Entry("SELECT (COUNT(*) AS ?n) { GRAPH ?g { ?g ?p ?o FILTER(STRSTARTS(STR(?g), \"urn:g:nation\")) } }", "SELECT CAST(0 AS BIGINT) AS n"),
+    "graph_nested": Entry("SELECT ?g ?n { GRAPH g:region { ?r :r_name ?m GRAPH ?g { ?k :n_name ?n ; :n_regionkey ?r } } }", "SELECT unnest(['urn:g:nation', 'urn:g:nation2']) AS g, n_name AS n FROM nation JOIN region ON n_regionkey = r_regionkey"),
     # ---- aggregates
     "count_all": Entry("SELECT (COUNT(*) AS ?n) { ?l :l_quantity ?q }", "SELECT count(*) AS n FROM lineitem"),
     "count_variable": Entry("SELECT (COUNT(?o) AS ?n) (COUNT(*) AS ?m) { ?c :c_name ?x OPTIONAL { ?o :o_custkey ?c } }", "SELECT count(o_orderkey) AS n, count(*) AS m FROM customer LEFT JOIN orders ON o_custkey = c_custkey"),
@@ -129,6 +152,7 @@ ENTRIES: dict[str, Entry] = {
     "order_expression": Entry("SELECT ?n { ?c :c_name ?n ; :c_acctbal ?b ; :c_custkey ?k } ORDER BY ABS(?b) ?k LIMIT 5", "SELECT c_name AS n FROM customer ORDER BY abs(c_acctbal), c_custkey LIMIT 5"),
     "order_unbound_first": Entry("SELECT ?n ?o { ?c :c_name ?n OPTIONAL { ?c :c_acctbal ?o FILTER(?o > 0) } } ORDER BY ?o ?n LIMIT 20", "SELECT c_name AS n, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS o FROM customer ORDER BY o NULLS FIRST, n LIMIT 20"),
     "order_distinct_hidden": Entry("SELECT DISTINCT ?m { ?c :c_mktsegment ?m ; :c_acctbal ?b } ORDER BY ?b LIMIT 3", "SELECT c_mktsegment AS m FROM customer GROUP BY 1 ORDER BY min(c_acctbal) LIMIT 3"),
+    "order_distinct_mixed": Entry("SELECT DISTINCT ?m { ?c :c_mktsegment ?m ; :c_nationkey_lit ?k ; :c_acctbal ?b } ORDER BY ?k DESC(?b) LIMIT 3", "SELECT m FROM (SELECT c_mktsegment AS m, c_nationkey AS k, c_acctbal AS b, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey, c_acctbal DESC) AS i FROM customer) WHERE i = 1 ORDER BY k, b DESC LIMIT 3"),
     "limit_zero": Entry("SELECT ?n { ?r :r_name ?n } LIMIT 0", "SELECT r_name AS n FROM region LIMIT 0"),
     "ask": Entry('ASK { ?c :c_mktsegment "BUILDING" ; :c_acctbal ?b FILTER(?b > 9990) }', "SELECT count(*) > 0 AS ask FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9990"),
     "ask_false": Entry('ASK { ?c :c_mktsegment "NOTHING" }', "SELECT false AS ask"),
@@ -153,8 +177,15 @@ ENTRIES: dict[str, Entry] = {
     "path_inverse": Entry("SELECT ?r ?c { ?k ^:c_nationkey ?c . ?k :n_name ?r }", f"SELECT n_name AS r, {IRI_C} AS c FROM customer JOIN nation ON c_nationkey = n_nationkey"),
     "path_alternative": Entry("SELECT ?x { ?k :n_name|:r_name ?x }", "SELECT n_name AS x FROM nation UNION ALL SELECT r_name FROM region"),
     "path_negated": Entry("SELECT (STR(?x) AS ?y) { t:region\\/2 !(:r_regionkey|:other) ?x }", "SELECT r_name AS y FROM region WHERE r_regionkey = 2"),
-    "path_optional": Entry("SELECT (STR(?x) AS ?y) { t:nation\\/4 :n_regionkey? ?x }", "SELECT 'urn:t:nation/4' AS y UNION ALL SELECT 'urn:t:region/' || n_regionkey FROM nation WHERE n_nationkey = 4"),
-    "path_plus": Entry("SELECT (STR(?x) AS ?y) { t:orders\\/5 (:o_custkey|:c_nationkey|:n_regionkey)+ ?x }", "SELECT 'urn:t:customer/' || o_custkey AS y FROM orders WHERE o_orderkey = 5 UNION ALL SELECT 'urn:t:nation/' || c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey = 5 UNION ALL SELECT 'urn:t:region/' || n_regionkey FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey = 5"),
+    "path_optional": Entry(
+        "SELECT (COUNT(*) AS ?n) { GRAPH g:nation { ?x :n_regionkey? ?y } }",
+        "SELECT 2 * count(*) + count(DISTINCT n_name) + count(DISTINCT n_regionkey) + (SELECT count(*) FROM (SELECT n_nationkey FROM nation UNION SELECT n_regionkey FROM nation)) AS n FROM nation",
+    ),
+    "path_plus": Entry(
+        "SELECT ?m (COUNT(*) AS ?n) { ?x (:o_custkey|:c_nationkey|:n_regionkey)+ ?y . ?y :r_name ?m } GROUP BY ?m",
+        "WITH c AS (SELECT c_custkey, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey) SELECT r_name AS m, count(*) AS n FROM (SELECT n_regionkey FROM nation UNION ALL SELECT n_regionkey FROM c UNION ALL SELECT n_regionkey FROM orders JOIN c ON o_custkey = c_custkey) JOIN region ON n_regionkey = r_regionkey GROUP BY 1",
+    ),
+    "path_graph": Entry("SELECT ?g (COUNT(*) AS ?n) { GRAPH ?g { ?x :n_regionkey+ ?y } } GROUP BY ?g", "SELECT unnest(['<urn:g:nation>', '<urn:g:nation2>']) AS g, count(*) AS n FROM nation"),
     "path_star": Entry("SELECT (COUNT(*) AS ?n) { ?x (:c_nationkey|:n_regionkey)* t:region\\/1 }", "SELECT 1 + (SELECT count(*) FROM nation WHERE n_regionkey = 1) + (SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 1) AS n"),
     # ---- functions
     "string_functions": Entry(
@@ -172,7 +203,76 @@ ENTRIES: dict[str, Entry] = {
 }
 
 
+_CUSTOMER_QUADS = "(SELECT count(c_custkey) + count(c_name) + 2 * count(c_nationkey) + count(c_acctbal) + count(c_mktsegment) FROM customer)"
+_PART_QUADS = "(SELECT count(p_partkey) + count(p_name) + count(p_brand) + count(p_type) + count(p_size) + count(p_retailprice) FROM part)"
+_SUPPLIER_QUADS = "(SELECT count(s_suppkey) + count(s_name) + 2 * count(s_nationkey) + count(s_acctbal) FROM supplier)"
+_NATION_QUADS, _REGION_QUADS = "(SELECT 4 * count(*) FROM nation)", "(SELECT 2 * count(*) FROM region)"
+
+#: Over a store that is built from the quads of STORED, some 220,000 at sf0.1. Terms are spelled, as a store's columns are not typed.
+STORED = ("region", "nation", "supplier", "customer", "part")
+STORE_ENTRIES: dict[str, Entry] = {
+    "lookup": Entry("SELECT ?n ?m { t:customer\\/7 :c_name ?n ; :c_mktsegment ?m }", "SELECT '\"' || c_name || '\"' AS n, '\"' || c_mktsegment || '\"' AS m FROM customer WHERE c_custkey = 7"),
+    "object_lookup": Entry("SELECT ?c { ?c ?p t:nation\\/3 }", "SELECT '<urn:t:customer/' || c_custkey || '>' AS c FROM customer WHERE c_nationkey = 3 UNION ALL SELECT '<urn:t:supplier/' || s_suppkey || '>' FROM supplier WHERE s_nationkey = 3"),
+    "ask": Entry('ASK { t:part\\/1 :p_brand ?b . ?x :p_brand ?b FILTER(?x != t:part\\/1) }', "SELECT count(*) > 1 AS ask FROM part WHERE p_brand = (SELECT p_brand FROM part WHERE p_partkey = 1)"),
+    "scan": Entry("SELECT ?c ?m { ?c :c_mktsegment ?m }", "SELECT '<urn:t:customer/' || c_custkey || '>' AS c, '\"' || c_mktsegment || '\"' AS m FROM customer"),
+    "count": Entry("SELECT (COUNT(*) AS ?n) { ?s ?p ?o }", f"SELECT {_CUSTOMER_QUADS} + {_PART_QUADS} + {_SUPPLIER_QUADS} + {_NATION_QUADS} + {_REGION_QUADS} AS n"),
+    "predicates": Entry("SELECT ?p (COUNT(*) AS ?n) { ?s ?p ?o FILTER(STRSTARTS(STR(?p), \"urn:p:s_\")) } GROUP BY ?p", "SELECT '<urn:p:' || unnest(['s_suppkey', 's_name', 's_nationkey', 's_nationkey_lit', 's_acctbal']) || '>' AS p, count(*) AS n FROM supplier"),
+    "graph_names": Entry("SELECT DISTINCT ?g { GRAPH ?g { ?s ?p ?o } }", "SELECT unnest(['<urn:g:region>', '<urn:g:nation>', '<urn:g:nation2>', '<urn:g:supplier>', '<urn:g:customer>', '<urn:g:part>']) AS g"),
+    "graph_count": Entry("SELECT ?g (COUNT(*) AS ?n) { GRAPH ?g { ?s ?p ?o } } GROUP BY ?g", f"SELECT '<urn:g:region>' AS g, {_REGION_QUADS} AS n UNION ALL SELECT '<urn:g:nation>', {_NATION_QUADS} UNION ALL SELECT '<urn:g:nation2>', {_NATION_QUADS} UNION ALL SELECT '<urn:g:supplier>', {_SUPPLIER_QUADS} UNION ALL SELECT '<urn:g:customer>', {_CUSTOMER_QUADS} UNION ALL SELECT '<urn:g:part>', {_PART_QUADS}"),
+    "graph_scan": Entry("SELECT ?g ?s ?o { GRAPH ?g { ?s :p_brand ?o } }", "SELECT '<urn:g:part>' AS g, '<urn:t:part/' || p_partkey || '>' AS s, '\"' || p_brand || '\"' AS o FROM part"),
+    "star": Entry('SELECT ?n ?k { ?c :c_mktsegment "BUILDING" ; :c_name ?n ; :c_nationkey ?k }', "SELECT '\"' || c_name || '\"' AS n, '<urn:t:nation/' || c_nationkey || '>' AS k FROM customer WHERE c_mktsegment = 'BUILDING'"),
+    "chain": Entry("SELECT ?c ?r { ?c :c_nationkey ?k . ?k :n_regionkey ?g . ?g :r_name ?r }", "SELECT '<urn:t:customer/' || c_custkey || '>' AS c, '\"' || r_name || '\"' AS r FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"),
+    "path": Entry("SELECT ?r (COUNT(*) AS ?n) { ?c :c_nationkey/:n_regionkey ?r } GROUP BY ?r", "SELECT '<urn:t:region/' || n_regionkey || '>' AS r, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1"),
+    "optional": Entry("SELECT ?n ?s { ?k :n_name ?n OPTIONAL { ?s :s_nationkey ?k } }", "SELECT '\"' || n_name || '\"' AS n, '<urn:t:supplier/' || s_suppkey || '>' AS s FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey"),
+    "minus": Entry("SELECT ?k { ?k :n_name ?n MINUS { ?s :s_nationkey ?k ; :s_nationkey_lit 3 } }", "SELECT '<urn:t:nation/' || n_nationkey || '>' AS k FROM nation WHERE n_nationkey <> 3 OR n_nationkey NOT IN (SELECT s_nationkey FROM supplier)"),
+    "not_exists": Entry("SELECT ?k { ?k :n_name ?n FILTER NOT EXISTS { ?s :s_nationkey ?k } }", "SELECT '<urn:t:nation/' || n_nationkey || '>' AS k FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)"),
+    "filter": Entry("SELECT ?p ?s { ?p :p_size ?s FILTER(DATATYPE(?s) = xsd:integer && ?s < 5) }", "SELECT '<urn:t:part/' || p_partkey || '>' AS p, '\"' || p_size || '\"^^<http://www.w3.org/2001/XMLSchema#integer>' AS s FROM part WHERE p_size < 5"),
+    "distinct": Entry("SELECT DISTINCT ?b ?t { ?p :p_brand ?b ; :p_type ?t }", "SELECT DISTINCT '\"' || p_brand || '\"' AS b, '\"' || p_type || '\"' AS t FROM part"),
+    "order_limit": Entry("SELECT ?n { ?c :c_custkey ?k ; :c_name ?n } ORDER BY DESC(?k) LIMIT 5", "SELECT '\"' || c_name || '\"' AS n FROM customer ORDER BY c_custkey DESC LIMIT 5"),
+    "union": Entry("SELECT ?n { { ?x :r_name ?n } UNION { ?x :n_name ?n } }", "SELECT '\"' || r_name || '\"' AS n FROM region UNION ALL SELECT '\"' || n_name || '\"' FROM nation"),
+    "values": Entry("SELECT ?k ?c { VALUES ?k { t:nation\\/1 t:nation\\/2 } ?c :c_nationkey ?k }", "SELECT '<urn:t:nation/' || c_nationkey || '>' AS k, '<urn:t:customer/' || c_custkey || '>' AS c FROM customer WHERE c_nationkey IN (1, 2)"),
+    "band": Entry("SELECT (COUNT(*) AS ?n) { t:part\\/1 :p_size ?r . ?p :p_size ?s FILTER(?s < ?r + 3 && ?s > ?r - 3) }", "SELECT count(*) AS n FROM part, (SELECT p_size AS r FROM part WHERE p_partkey = 1) WHERE p_size < r + 3 AND p_size > r - 3"),
+}
+#: Those that are asked of the dictionary layout too.
+CODED = ("lookup", "object_lookup", "scan", "count", "graph_names", "graph_count", "graph_scan", "star", "chain", "optional", "minus")
+
 _OPEN: dict[tuple[str, str, bool], MappedSource] = {}
+_BUILT: dict[tuple[str, str, str], RdfStore] = {}
+
+
+def built(spark: SparkSession, sf_dir: str, layout: str) -> RdfStore:
+    """The store of a folder's STORED tables, built once in a session, in the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, layout)
+    if key not in _BUILT:
+        path = f"{shared_root(spark)}/quadrille/store-{uuid.uuid4().hex[:12]}"
+        build(spark, warehouse(spark, sf_dir, STORED).triples(Scope("var", "g")), path, layout, by_object=True)
+        _BUILT[key] = RdfStore.open(spark, path)
+    return _BUILT[key]
+
+
+def run_stored(name: str, spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
+    return built(spark, sf_dir, layout).query(_p(STORE_ENTRIES[name].sparql))
+
+
+def store_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store's own interface: statements of a pattern, with their graphs."""
+    rows = built(spark, sf_dir, "spelled").quads(p=Iri("urn:p:n_name"))
+    return rows.select("s", "o", F.array_join("graphs", " ").alias("graphs"))
+
+
+def store_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return built(spark, sf_dir, "spelled").contexts()
+
+
+def store_graph_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return built(spark, sf_dir, "spelled").graph("urn:g:nation2").triples(o=Iri("urn:t:region/1"))
+
+
+_INTERFACE = {
+    "store_statements": (store_statements, "SELECT '<urn:t:nation/' || n_nationkey || '>' AS s, '\"' || n_name || '\"' AS o, '<urn:g:nation2> <urn:g:nation>' AS graphs FROM nation"),
+    "store_contexts": (store_contexts, "SELECT unnest(['<urn:g:region>', '<urn:g:nation>', '<urn:g:nation2>', '<urn:g:supplier>', '<urn:g:customer>', '<urn:g:part>']) AS g"),
+    "store_graph_triples": (store_graph_triples, "SELECT '<urn:t:nation/' || n_nationkey || '>' AS s, '<urn:p:n_regionkey>' AS p, '<urn:t:region/1>' AS o FROM nation WHERE n_regionkey = 1"),
+}
 
 
 def opened(spark: SparkSession, sf_dir: str, tags: bool) -> MappedSource:
@@ -195,8 +295,13 @@ def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {n: lambda spark, sf_dir, n=n: run(n, spark, sf_dir) for n in ENTRIES}
+    found = {n: lambda spark, sf_dir, n=n: run(n, spark, sf_dir) for n in ENTRIES}
+    found |= {f"store_{n}": lambda spark, sf_dir, n=n: run_stored(n, spark, sf_dir, "spelled") for n in STORE_ENTRIES}
+    found |= {f"coded_{n}": lambda spark, sf_dir, n=n: run_stored(n, spark, sf_dir, "dictionary") for n in CODED}
+    return found | {n: f for n, (f, _) in _INTERFACE.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {n: e.sql for n, e in ENTRIES.items() if e.sql}
+    found = {n: e.sql for n, e in ENTRIES.items() if e.sql}
+    found |= {f"store_{n}": e.sql for n, e in STORE_ENTRIES.items()} | {f"coded_{n}": STORE_ENTRIES[n].sql for n in CODED}
+    return found | {n: sql for n, (_, sql) in _INTERFACE.items()}
