@@ -382,7 +382,51 @@ class Compiler:
 
     # ---- query forms
 
+    def counted(self, q: ast.Query, scope: Scope) -> Relation | None:
+        """SELECT (COUNT(*) AS ?n) over one basic pattern of several scans: each side is counted by what it shares before it meets the
+        other, so that no task makes the pairs of a frequent value. None for other queries."""
+        plain = not (q.group_by or q.having or q.order_by or q.distinct or q.reduced or q.values or q.offset or q.limit is not None)
+        if not plain or scope.kind == "var" or q.select is None or len(q.select) != 1 or q.select[0][1] != Call("COUNT", ()):
+            return None
+        if len(q.where.parts) != 1 or not isinstance(q.where.parts[0], ast.Bgp) or any(isinstance(t.p, Path) for t in q.where.parts[0].triples):
+            return None
+        scans = self.source.stars(q.where.parts[0].triples)
+        if len(scans) < 2:
+            return None
+        todo = [self.source.match(self.spark, ts, scope) for ts in sorted(scans, key=lambda ts: self.source.cost(ts, scope))]
+        acc: Relation | None = None
+        while todo:
+            known = set() if acc is None else acc.vars.keys()
+            found = next((r for r in todo if r.vars.keys() & known), todo[0])
+            todo.remove(found)
+            later = set().union(*[r.vars.keys() for r in todo]) if todo else set()
+            found = self._tallied(found, (found.vars.keys() & later) | (found.vars.keys() & known))
+            acc = found if acc is None else self._tallied(join(acc, found), (acc.vars.keys() | found.vars.keys()) & later)
+        n = Val("int", F.coalesce(F.sum(acc.vars[" tally"].column), F.lit(0).cast("bigint")))
+        i = Info(physical(q.select[0][0].name), "int")
+        return Relation(acc.df.agg(n.col.alias(i.column)), {q.select[0][0].name: i})
+
+    def _tallied(self, r: Relation, names) -> Relation:
+        """The relation's rows, counted by these variables, with the counts in ' tally …'."""
+        names = sorted(n for n in names if not n.startswith(" tally"))
+        for n in names:
+            if r.vars[n].kind == "num":
+                r = r.general(n)
+        times = [F.col(i.column) for n, i in r.vars.items() if n.startswith(" tally")]
+        each = F.count(F.lit(1))
+        if times:
+            product = times[0]
+            for t in times[1:]:
+                product = product * t
+            each = F.sum(product)
+        tally = physical("tally")
+        df = r.df.groupBy(*[r.vars[n].column for n in names]).agg(each.cast("bigint").alias(tally))
+        kept = {n: i for n, i in r.vars.items() if n in names}
+        return Relation(df, {**kept, " tally" if times else f" tally {tally}": Info(tally, "opaque")})
+
     def select(self, q: ast.Query, scope: Scope, keep: tuple[str, ...] = ()) -> Relation:
+        if not keep and (found := self.counted(q, scope)) is not None:
+            return found
         r = self.group(q.where, scope)
         if scope.kind == "var":
             keep = (*keep, scope.name)
