@@ -776,3 +776,34 @@ def test_jaccard_join_of_unsettled_keys(spark, monkeypatch, turns, paired, limit
     want, _ = plain_components(rows, 3, 70)
     got = jaccard_join.jaccard_components(frame(spark, rows, "doc_id long, text string"), 3, 70, links=False).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == want and 1 < len(set(want.values())) < len(rows)
+
+
+def plain_hash(samples):
+    """Of a grey map 24 wide: means over the 8 x 9 areas, each source pixel by its overlap, then left against right."""
+    h, w = samples.shape
+
+    def shares(n, parts):
+        out = np.zeros((parts, n))
+        for i in range(parts):
+            a, b = Fraction(i * n, parts), Fraction((i + 1) * n, parts)
+            for k in range(n):
+                out[i, k] = float(max(Fraction(0), min(b, Fraction(k + 1)) - max(a, Fraction(k))) / (b - a))
+        return out
+
+    small = shares(h, 8) @ samples.astype(float) @ shares(w, 9).T
+    bits = [int(small[i, j + 1] > small[i, j] + 1e-9) for i in range(8) for j in range(8)]
+    return "".join(f"{int(''.join(map(str, bits[i : i + 8])), 2):02x}" for i in range(0, 64, 8))
+
+
+def test_stored_media_against_plain(spark):
+    texts = [None, "", "a", "short text", "Ünï " * 200, " ".join(words(500)), "\n".join(words(40)), "z" * 576, "z" * 577]
+    docs = frame(spark, list(enumerate(texts)), "doc_id long, text string")
+    made = {r["id"]: bytes(r["media"]) for r in media.encode_media(media.text_images(docs)).collect()}
+    got = {r["doc_id"]: r for r in media.read_back(media.encode_media(media.text_images(docs))).collect()}
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        pay = raw + b"\xff" * (max(576, -(-len(raw) // 576) * 576) - len(raw))
+        stack = np.load(io.BytesIO(made[i]))
+        assert stack.dtype == np.uint8 and stack.shape == (len(pay) // 576, 24, 24) and stack.tobytes() == pay
+        assert (got[i]["media_bytes"], got[i]["media_sha256"]) == (len(made[i]), hashlib.sha256(made[i]).hexdigest())
+        assert got[i]["feature"] == plain_hash(np.frombuffer(pay, np.uint8).reshape(-1, 24)), i
