@@ -42,7 +42,7 @@ SKETCH_BITS = 1024
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 21
 COLUMNS, DENSE = 2048, 64
 #: Documents of an unsettled key that are compared in one block; turns of other pivots for larger keys.
-PAIRED, TURNS = 256, 3
+PAIRED, TURNS = 256, 1
 _U = np.uint64
 
 
