@@ -31,7 +31,7 @@ RIDGE = 1e-3
 #: Width of the kernel, in standard deviations of all statistics together.
 WIDTH = 0.7
 BINS = 2000
-#: The normal equations of so many partitions are summed; more partitions are brought together first.
+#: The normal equations of so many partitions, or of as many as the cluster has cores, are summed; more partitions are brought together first.
 PARTS = 128
 
 
@@ -156,7 +156,7 @@ def fit(rows: DataFrame, labelled: DataFrame, label: str) -> Scorer:
     def add(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"i": [group["i"].iloc[0]], "v": [np.sum(np.stack(group["v"].to_list()), axis=0).tolist()]})
 
-    parts = map_arrow(pairs.coalesce(PARTS), sums, "i int, v array<double>")
+    parts = map_arrow(pairs.coalesce(max(PARTS, pairs.sparkSession.sparkContext.defaultParallelism)), sums, "i int, v array<double>")
     got = {r["i"]: r["v"] for r in parts.groupBy("i").applyInPandas(add, "i int, v array<double>").collect()}
     if len(got) < size or not got[0][0]:
         return scorer
