@@ -37,8 +37,8 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DOCUMENTS = 0x184D2A50
 #: Ids in a frame, about; a document is never split, so a longer one has a frame of its own.
 FRAME_IDS = 1 << 16
-#: Chunks of text that a task remembers with their ids.
-CACHE_CHUNKS = 1_000_000
+#: Chunks of text, and words and other units, that a worker remembers: together some 120 MB, for as long as it lives.
+CACHE_CHUNKS, CACHE_UNITS = 250_000, 350_000
 #: Characters of texts that are encoded at once, about.
 PART_CHARS = 1 << 22
 
@@ -85,12 +85,15 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        #: numbers of chunks; the units that a chunk is made of, a word or a whole chunk, and the marks after it; numbers of units
-        self.known: dict[str, int] = {}
-        self.head, self.tail = array("q"), array("q")
+        # numbers of units, and their ids, one after another
         self.units: dict[str, int] = {"": 0}
-        #: the ids of units, one after another
         self.flat, self.starts = array("I"), array("q", [0, 0])
+        self._forget_chunks()
+
+    def _forget_chunks(self) -> None:
+        # numbers of chunks; the units that a chunk is made of: a word or the whole chunk, and the marks after it
+        self.known: dict[str, int] = {}
+        self.head, self.tail = array("q"), array("q")
 
     def _keep(self, unit: str, ids) -> None:
         self.units[unit] = len(self.starts) - 1
@@ -148,8 +151,10 @@ class Encoder:
         return out + (self._by_chunk(part) if part else [])
 
     def _by_chunk(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHE_CHUNKS:
+        if len(self.units) > CACHE_UNITS:
             self._forget()
+        elif len(self.known) > CACHE_CHUNKS:
+            self._forget_chunks()
         split = [t.replace("\n", " ").split(" ") for t in texts]
         chunks = list(chain.from_iterable(split))
         if new := set(chunks).difference(self.known):
