@@ -23,7 +23,6 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +36,8 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DOCUMENTS = 0x184D2A50
 #: Ids in a frame, about; a document is never split, so a longer one has a frame of its own.
 FRAME_IDS = 1 << 16
-#: Chunks of text, and words and other units, that a worker remembers: together some 120 MB, for as long as it lives.
-CACHE_CHUNKS, CACHE_UNITS = 250_000, 350_000
-#: Characters of texts that are encoded at once, about.
-PART_CHARS = 1 << 22
+#: Chunks of text that a task remembers with their ids.
+CACHE_CHUNKS = 600_000
 
 
 # How the tokenizers that Encoder knows to work chunk by chunk normalise and split a text.
@@ -85,24 +82,17 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        # numbers of units, and their ids, one after another
-        self.units: dict[str, int] = {"": 0}
-        self.flat, self.starts = array("I"), array("q", [0, 0])
-        self._forget_chunks()
-
-    def _forget_chunks(self) -> None:
-        # numbers of chunks; the units that a chunk is made of: a word or the whole chunk, and the marks after it
         self.known: dict[str, int] = {}
-        self.head, self.tail = array("q"), array("q")
+        self.flat, self.starts = array("I"), array("q", [0])
 
-    def _keep(self, unit: str, ids) -> None:
-        self.units[unit] = len(self.starts) - 1
+    def _keep(self, chunk: str, ids) -> None:
+        self.known[chunk] = len(self.starts) - 1
         self.flat.extend(ids)
         self.starts.append(len(self.flat))
 
-    def _library(self, units: list[str]) -> None:
-        for i in range(0, len(units), 256):
-            part = units[i : i + 256]
+    def _library(self, chunks: list[str]) -> None:
+        for i in range(0, len(chunks), 256):
+            part = chunks[i : i + 256]
             if self.cut_id is None or any(self.cut[:2] in c for c in part):
                 for e, c in zip(self.tokenizer.encode_batch_fast(part, add_special_tokens=False), part, strict=True):
                     self._keep(c, e.ids)
@@ -124,49 +114,50 @@ class Encoder:
             base, first = len(self.flat), len(self.starts) - 1
             self.flat.extend(ids.tolist())
             self.starts.extend((ends + base).tolist())
-            self.units.update(zip(part, range(first, first + len(part)), strict=True))
+            self.known.update(zip(part, range(first, first + len(part)), strict=True))
 
     def _learn(self, chunks: list[str]) -> None:
-        found = list(map(_PLAIN.fullmatch, map(str.lower, chunks)))
-        heads, tails = zip(*[m.groups() if m else (c, "") for c, m in zip(chunks, found, strict=True)], strict=True)
-        units = self.units
-        self._library(list(({c for c, m in zip(chunks, found, strict=True) if not m} | set(tails)).difference(units)))
-        self._words(list({w for w, m in zip(heads, found, strict=True) if m}.difference(units)))
-        self.known.update(zip(chunks, range(len(self.head), len(self.head) + len(chunks)), strict=True))
-        self.head.extend(map(units.__getitem__, heads))
-        self.tail.extend(map(units.__getitem__, tails))
+        hard: list[str] = []
+        plain: list[tuple[str, str, str]] = []
+        match = _PLAIN.fullmatch
+        for c in chunks:
+            if m := match(c.lower()):
+                plain.append((c, *m.groups()))
+            else:
+                hard.append(c)
+        known = self.known
+        self._library([x for x in {*hard, *(p[2] for p in plain if p[2])} if x not in known])
+        self._words([x for x in {p[1] for p in plain} if x not in known])
+        flat, starts = self.flat, self.starts
+        for c, w, marks in plain:
+            if c not in known:
+                k = known[w]
+                if marks:
+                    j = known[marks]
+                    flat.extend(flat[starts[k] : starts[k + 1]])
+                    flat.extend(flat[starts[j] : starts[j + 1]])
+                    known[c] = len(starts) - 1
+                    starts.append(len(flat))
+                else:
+                    known[c] = k
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         if self.whole:
             return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
-        out: list[np.ndarray] = []
-        part: list[str] = []
-        size = 0
-        for t in texts:
-            part.append(t or "")
-            size += len(part[-1])
-            if size > PART_CHARS:
-                out += self._by_chunk(part)
-                part, size = [], 0
-        return out + (self._by_chunk(part) if part else [])
-
-    def _by_chunk(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.units) > CACHE_UNITS:
+        if len(self.known) > CACHE_CHUNKS:
             self._forget()
-        elif len(self.known) > CACHE_CHUNKS:
-            self._forget_chunks()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        chunks = list(chain.from_iterable(split))
-        if new := set(chunks).difference(self.known):
+        get = self.known.get
+        chunks = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+        if new := {c for x in chunks for c in x if c not in self.known}:
             self._learn(list(new))
-        at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
-        units = np.empty(2 * len(at), np.int64)
-        units[::2], units[1::2] = np.frombuffer(self.head, np.int64)[at], np.frombuffer(self.tail, np.int64)[at]
-        starts = np.frombuffer(self.starts, np.int64)
-        first, size = starts[units], starts[units + 1] - starts[units]
+        found = [np.array(list(map(get, x)), np.int64) for x in chunks]
+        counts = [len(x) for x in found]
+        at = np.concatenate(found) if found else np.empty(0, np.int64)
+        starts, flat = np.array(self.starts), np.frombuffer(self.flat, np.uint32) if len(self.flat) else np.empty(0, np.uint32)
+        first, size = starts[at], starts[at + 1] - starts[at]
         ends = np.concatenate(([0], np.cumsum(size)))
-        ids = np.frombuffer(self.flat, np.uint32)[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])] if ends[-1] else np.empty(0, np.uint32)
-        edges = ends[2 * np.concatenate(([0], np.cumsum([len(x) for x in split], dtype=np.int64)))]
+        ids = flat[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
+        edges = ends[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
         return [ids[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
