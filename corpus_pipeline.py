@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.llm import decontamination, jaccard_join, mixing, token_files, toxicity
-from quadrille.llm.common import shared_folder, stored
+from quadrille.llm.common import BROADCAST_LIMIT_BYTES, shared_folder, stored
 
 TOXIC_FROM = 0.7
 
@@ -27,13 +27,18 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Keeps the document of the least id of each group that shingles of five words link at 0.8 or more.
 
     Of rows that share that id those of different texts all stay; of those of one text, that of the least other columns."""
-    groups = jaccard_join.jaccard_components(docs.select("doc_id", "text"), 5, 80, links=False)
-    kept = stored(groups.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "kept-ids")
+    groups = jaccard_join.jaccard_components(docs.select("doc_id", "text"), 5, 80, links=False).where("doc_id is not null")
+    ids = stored(groups.groupBy("doc_id").agg(F.count_if(F.col("doc_id") == F.col("component_id")).alias("n")), "kept-ids")
     named = docs.where("doc_id is not null")
-    one = named.join(kept.where("n = 1"), "doc_id", "left_semi")
+    # texts stay where they are while the ids whose rows are not kept as they stand make a short list
+    others, repeated = ids.where("n <> 1").select("doc_id"), ids.where("n > 1").select("doc_id")
+    if others.count() * 32 <= BROADCAST_LIMIT_BYTES:
+        one, again = named.join(F.broadcast(others), "doc_id", "left_anti"), named.join(F.broadcast(repeated), "doc_id", "left_semi")
+    else:
+        one, again = named.join(ids.where("n = 1").select("doc_id"), "doc_id", "left_semi"), named.join(repeated, "doc_id", "left_semi")
     # few ids repeat; only their rows are grouped
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    several = named.join(kept.where("n > 1"), "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("r"))
+    several = again.groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("r"))
     several = several.select("doc_id", "text", *[F.col(f"r.{c}").alias(c) for c in rest])
     return one.unionByName(several).unionByName(docs.where("doc_id is null")).select(*docs.columns)
 

@@ -13,7 +13,7 @@ Candidates are thinned by sizes and by a second sketch, of SKETCH_BITS parity bi
 cannot be above the symmetric difference; then whole sets are compared.
 
 Equal sets become one class first. Of the documents that share a key only the pairs with two pivots, the
-least and the greatest id, are compared; those link most of a group of near copies at once. Keys whose documents
+least and the greatest id, are compared; those link most of a group of near copies at once. Keys whose other documents
 then lie in several components are unsettled: where one has more than PAIRED documents, other pivots are taken, TURNS times at
 most; after that all pairs that share a key, lie in different components and were not compared yet are compared, in
 blocks of PAIRED documents, so no component is missed and no task holds more than two blocks.
@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quadrille.llm.common import BROADCAST_LIMIT_BYTES, lookup, map_arrow, stored
 from quadrille.llm.words import WHITE, mix, shingles, utf8, words_of
@@ -287,10 +288,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id: s
         texts = texts.where("id is not null").join(F.broadcast(copies), "id", "left_anti")
     else:
         texts = texts.join(classes.select("id"), "id", "left_semi")
-    rows = key_rows(texts, width, percent)
-    pivots = stored(rows.groupBy("key").agg(F.min("id").alias("p1"), F.max("id").alias("p2")).where("p1 < p2"), "jaccard-pivots")
-    small = pivots.count() * 48 <= BROADCAST_LIMIT_BYTES // 2
-    members = stored(rows.join(F.broadcast(pivots) if small else pivots, "key"), "jaccard-members")
+    # the keys are dealt once, whatever their number: each row meets its key's pivots where they are found
+    own = Window.partitionBy("key")
+    rows = key_rows(texts, width, percent).select("key", "id", F.min("id").over(own).alias("p1"), F.max("id").over(own).alias("p2"))
+    members = stored(rows.where("p1 < p2"), "jaccard-members")
     sizes = classes.select("id", "n", "parity")
 
     def measured(pairs: DataFrame) -> DataFrame:
@@ -306,11 +307,13 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id: s
     again = named.join(F.broadcast(repeated) if repeated.limit(100_001).count() <= 100_000 else repeated, "id", "left_semi").where("rep <> id").select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
     found = components(links.unionByName(again))
 
-    # what the pivots left: keys whose documents lie in several components
+    # what the pivots left: keys whose other documents lie in several components; the pivots were compared with all of them
     def unsettled(rows: DataFrame) -> DataFrame:
-        now = rows.select("key", "id").join(found.select("id", F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
-        several = now.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count(F.lit(1)).alias("m")).where("c1 <> c2").select("key", "m")
-        return stored(now.join(several, "key"), "jaccard-left")
+        known = found.select("id", F.col("component").alias("c"))
+        known = F.broadcast(known) if known.count() * 32 <= BROADCAST_LIMIT_BYTES else known
+        now = rows.select("key", "id").join(known, "id", "left").withColumn("c", F.coalesce("c", "id"))
+        several = now.select("*", F.min("c").over(own).alias("c1"), F.max("c").over(own).alias("c2"), F.count(F.lit(1)).over(own).alias("m"))
+        return stored(several.where("c1 <> c2").select("key", "id", "c", "m"), "jaccard-left")
 
     def compared(pairs: DataFrame) -> None:
         nonlocal tested, links, found
@@ -319,7 +322,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id: s
         links = stored(links.unionByName(_verified(fresh, docs, width, percent, id, text)), "jaccard-links")
         found = components(links.unionByName(again))
 
-    left = unsettled(members)
+    left = unsettled(members.where("id <> p1 and id <> p2"))
     for turn in range(TURNS):
         large = left.where(F.col("m") > PAIRED)
         if not large.limit(1).count():

@@ -778,6 +778,24 @@ def test_jaccard_join_of_unsettled_keys(spark, monkeypatch, turns, paired, limit
     assert {r["doc_id"]: r["component_id"] for r in got} == want and 1 < len(set(want.values())) < len(rows)
 
 
+def test_jaccard_keys_are_dealt_once_and_pairs_of_pivots_are_settled(spark, monkeypatch):
+    """Keys of two documents each, which do not link: nothing is left to compare, and however many keys there are, they are made once."""
+    seen = []
+    monkeypatch.setattr(jaccard_join, "BROADCAST_LIMIT_BYTES", 0)
+    kept = jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, label: seen.append((label, df._jdf.queryExecution().toString(), out := kept(df, label))) or out)
+    rng = random.Random(7)
+    rows = []
+    for i in range(8):
+        shared = words(60, rng)
+        rows += [(2 * i + k, " ".join([*shared, *(f"w{i}x{k}x{j}" for j in range(25))])) for k in range(2)]
+    got = jaccard_join.jaccard_components(frame(spark, rows, "doc_id long, text string"), 5, 80, links=False).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == plain_components(rows, 5, 80)[0]
+    assert sum("explode(keys" in plan for _, plan, _ in seen) == 1
+    assert next(df for label, _, df in seen if label == "jaccard-members").count() > 0
+    assert [df.count() for label, _, df in seen if label == "jaccard-left"] == [0]
+
+
 def plain_hash(samples):
     """Of a grey map 24 wide: means over the 8 x 9 areas, each source pixel by its overlap, then left against right."""
     h, w = samples.shape

@@ -1,5 +1,7 @@
 """The pipeline's stages against plain versions, each on its own input."""
 
+import pytest
+
 import corpus_pipeline
 from quadrille.llm import toxicity
 from tests.llm.test_operators import plain_components, plain_hits
@@ -59,3 +61,19 @@ def test_rows_of_one_id_are_not_lost(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted((tuple(r) for r in corpus_pipeline.one_of_near_copies(spark, docs.repartition(5), SF).collect()), key=repr)
     assert got == sorted([(1, "one text of this id", "de", "a", 1), rows[1], rows[5], rows[6]], key=repr)
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_texts_stay_where_they_are_while_near_copies_are_left_out(spark, monkeypatch, limit):
+    """However long the list of kept ids; texts are joined by shuffles only where the list of the others is too long to be sent."""
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_LIMIT_BYTES", limit)
+    rows = [(i, f"text {i % 30} of this table", "en", "a", i) for i in range(40)] + [(5, "another text of an id", "en", "b", 1), (None, "text 1 of this table", "en", "a", 2), (35, "", "en", "a", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df, label, kept=corpus_pipeline.stored: (kept(df, label), spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1"))[0])
+    try:
+        out = corpus_pipeline.one_of_near_copies(spark, docs, SF)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted([r for r in rows if r[0] is None or r[0] < 30 or r[0] == 35], key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("SortMergeJoin" in plan) == (limit == 0)
