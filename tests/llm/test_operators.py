@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quadrille.llm import decontamination, html_extraction, jaccard_join, media, mixing, quality, token_files, toxicity, url_filters, warc
+from quadrille.llm import common, decontamination, html_extraction, jaccard_join, media, mixing, quality, token_files, toxicity, url_filters, warc
 from quadrille.llm.common import shared_folder
 
 RNG = random.Random(5)
@@ -796,6 +796,27 @@ def test_jaccard_keys_are_dealt_once_and_pairs_of_pivots_are_settled(spark, monk
     assert [df.count() for label, _, df in seen if label == "jaccard-left"] == [0]
 
 
+def test_tasks_give_free_memory_back(spark):
+    def pages():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    kept = []
+
+    def each(batches):
+        arrays = [np.ones(5000) for _ in range(5000)]
+        kept.append(np.ones(5000))  # above the others, so that the heap's end does not fall by itself
+        yield from ()
+        arrays.clear()
+
+    from types import SimpleNamespace
+
+    run = common.map_arrow(SimpleNamespace(sparkSession=spark, mapInArrow=lambda f, schema: f), each, "n long")
+    before = pages()
+    assert list(run(iter([]))) == [] and kept
+    assert pages() - before < 60e6  # of 200 MB
+
+
 def plain_hash(samples):
     """Of a grey map 24 wide: means over the 8 x 9 areas, each source pixel by its overlap, then left against right."""
     h, w = samples.shape
