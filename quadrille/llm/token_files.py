@@ -18,10 +18,8 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -30,14 +28,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.llm.common import map_arrow, open_fs, shared_folder, stored, write_atomically
+from quadrille.llm.words import FOLD, PIECE, groups, pieces, range_hashes, separators
 
 #: Fixed values of the public seekable format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DOCUMENTS = 0x184D2A50
 #: Ids in a frame, about; a document is never split, so a longer one has a frame of its own.
 FRAME_IDS = 1 << 16
-#: Chunks of text that a task remembers with their ids.
+#: Units of text that a worker remembers with their ids, about, and places for their hashes: for twice as many and more,
+#: as a piece of PIECE bytes, which has at most half as many units, is learned whole.
 CACHE_CHUNKS = 600_000
+PLACES = 1 << 21
 
 
 # How the tokenizers that Encoder knows to work chunk by chunk normalise and split a text.
@@ -58,16 +59,73 @@ def works_by_chunk(path: str) -> bool:
     )
 
 
-_PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?#$%&*|]*)")
+SPACES = separators((0x20, 0x20), (0x0A, 0x0A))
+_LETTER, _MARK, _OTHER = 1, 2, 3
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[SPACES] = 0
+_KIND[np.frombuffer(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", np.uint8)] = _LETTER
+_KIND[np.frombuffer(b".,;:!?#$%&*|", np.uint8)] = _MARK
+#: Second bytes of the letters from U+00C0 to U+00FF, which the first byte 0xC3 begins.
+_LATIN = separators((0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF))
+
+
+def _units(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and kinds of the units between spaces and line ends, in UTF-8: of a chunk of plain letters and then marks, either
+    perhaps missing, the letters and the marks; any other chunk is a unit of its own."""
+    kind = _KIND[raw]
+    first = np.flatnonzero(raw[:-1] == 0xC3)
+    first = first[_LATIN[raw[first + 1]]]
+    kind[first] = kind[first + 1] = _LETTER
+    edges = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+    starts = np.concatenate(([0], edges)) if len(raw) else edges
+    ends, kinds = np.append(starts[1:], len(raw)) if len(raw) else starts, kind[starts]
+    opens = np.concatenate(([True], kinds[:-1] == 0))[: len(kinds)]
+    odd = (kinds == _OTHER) | ((kinds == _LETTER) & ~opens)
+    inside = kinds != 0
+    starts, ends, kinds, opens, odd = starts[inside], ends[inside], kinds[inside], opens[inside], odd[inside]
+    if odd.any():
+        heads = np.flatnonzero(opens)
+        whole = np.logical_or.reduceat(odd, heads)
+        ends[heads[whole]] = ends[np.append(heads[1:], len(ends))[whole] - 1]
+        kinds[heads[whole]] = _OTHER
+        kept = opens | ~np.repeat(whole, np.diff(np.append(heads, len(opens))))
+        starts, ends, kinds = starts[kept], ends[kept], kinds[kept]
+    return starts, ends, kinds
+
+
+class _Lists:
+    """Short lists of numbers, one behind another, that grow."""
+
+    def __init__(self, kind: type):
+        self.flat, self.starts, self.n = np.empty(1 << 12, kind), np.zeros(1 << 10, np.int64), 0
+
+    def add(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        at = int(self.starts[self.n])
+        for name, n in (("flat", at + len(flat)), ("starts", self.n + len(sizes) + 1)):
+            if n > len(have := getattr(self, name)):
+                setattr(self, name, np.concatenate((have, np.empty(max(n, len(have) * 3 // 2) - len(have), have.dtype))))
+        self.flat[at : at + len(flat)] = flat
+        np.cumsum(sizes, out=self.starts[self.n + 1 : self.n + len(sizes) + 1])
+        self.starts[self.n + 1 : self.n + len(sizes) + 1] += at
+        self.n += len(sizes)
+
+    def sizes(self, which: np.ndarray) -> np.ndarray:
+        return self.starts[which + 1] - self.starts[which]
+
+    def take(self, which: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.starts[which] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class Encoder:
-    """The tokenizers library, called with whole texts, or once for each new chunk between spaces or line ends.
+    """The tokenizers library, called with whole texts, or once for each new unit of chunks between spaces or line ends.
 
     If the tokenizer drops white space, never joins across it and folds case, a text's ids are those of its
     chunks, and a plain word's, with marks after it, those of the word and of the marks. The tokenizer's file
     tells; without that, or if `whole` says so, whole texts are encoded.
-    New chunks are encoded many at once, with a special token between them, at which the library cuts."""
+    Units are found by their hashes, many at once, and compared byte by byte with the known ones; where two have
+    one hash, those texts are encoded whole. New ones are encoded many at once: words with spaces between them, others
+    with a special token between them, at which the library cuts."""
 
     def __init__(self, path: str, whole: bool | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -82,83 +140,110 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.starts = array("I"), array("q", [0])
-
-    def _keep(self, chunk: str, ids) -> None:
-        self.known[chunk] = len(self.starts) - 1
-        self.flat.extend(ids)
-        self.starts.append(len(self.flat))
-
-    def _library(self, chunks: list[str]) -> None:
+        self.hashes, self.numbers = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.int32)
+        self.spelled, self.ids = _Lists(np.uint8), _Lists(np.uint32)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers of known units, -1 for others."""
+        found = np.full(len(keys), -1, np.int64)
+        left, at = np.arange(len(keys)), (keys & np.uint64(PLACES - 1)).astype(np.int64)
+        while len(left):
+            there = self.hashes[at]
+            same = there == keys[left]
+            found[left[same]] = self.numbers[at[same]]
+            on = ~same & (there != 0)
+            left, at = left[on], (at[on] + 1) & (PLACES - 1)
+        return found
+
+    def _place(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        at = (keys & np.uint64(PLACES - 1)).astype(np.int64)
+        while len(keys):
+            free = self.hashes[at] == 0
+            self.hashes[at[free]] = keys[free]
+            mine = self.hashes[at] == keys
+            self.numbers[at[mine]] = numbers[mine]
+            keys, numbers, at = keys[~mine], numbers[~mine], (at[~mine] + 1) & (PLACES - 1)
+
+    def _texts(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _library(self, chunks: list[bytes]) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
         for i in range(0, len(chunks), 256):
-            part = chunks[i : i + 256]
+            part = [c.decode() for c in chunks[i : i + 256]]
             if self.cut_id is None or any(self.cut[:2] in c for c in part):
-                for e, c in zip(self.tokenizer.encode_batch_fast(part, add_special_tokens=False), part, strict=True):
-                    self._keep(c, e.ids)
+                out += self._texts(part)
                 continue
             ids = np.array(self.tokenizer.encode(self.cut.join(part), add_special_tokens=False).ids, np.uint32)
-            edges = [-1, *np.flatnonzero(ids == self.cut_id).tolist(), len(ids)]
-            for c, a, b in zip(part, edges[:-1], edges[1:], strict=True):
-                self._keep(c, ids[a + 1 : b].tolist())
+            edges = np.flatnonzero(ids == self.cut_id).tolist()
+            out += [ids[a:b] for a, b in zip([0, *[e + 1 for e in edges]], [*edges, len(ids)], strict=True)]
+        return out
 
-    def _words(self, words: list[str]) -> None:
+    def _words(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Of words that the tokenizer never divides before it looks for pieces: cut where an id ends a word."""
         for i in range(0, len(words), 512):
             part = words[i : i + 512]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(part) or (ends[-1] if len(ends) else 0) != len(ids):
-                self._library(part)
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                each = self._library(part)
+                yield np.concatenate(each), np.array([len(x) for x in each])
+            else:
+                yield ids, np.diff(ends, prepend=0)
+
+    def _learn(self, text: bytes, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, kinds: np.ndarray) -> None:
+        _, new = np.unique(keys, return_index=True)
+        plain = kinds[new] == _LETTER
+        for some, by in ((new[plain], True), (new[~plain], False)):
+            if not len(some):
                 continue
-            base, first = len(self.flat), len(self.starts) - 1
-            self.flat.extend(ids.tolist())
-            self.starts.extend((ends + base).tolist())
-            self.known.update(zip(part, range(first, first + len(part)), strict=True))
-
-    def _learn(self, chunks: list[str]) -> None:
-        hard: list[str] = []
-        plain: list[tuple[str, str, str]] = []
-        match = _PLAIN.fullmatch
-        for c in chunks:
-            if m := match(c.lower()):
-                plain.append((c, *m.groups()))
+            spelled = [text[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)]
+            n = self.spelled.n
+            self.spelled.add(np.frombuffer(b"".join(spelled), np.uint8), ends[some] - starts[some])
+            if by:
+                for ids, sizes in self._words(spelled):
+                    self.ids.add(ids, sizes)
             else:
-                hard.append(c)
-        known = self.known
-        self._library([x for x in {*hard, *(p[2] for p in plain if p[2])} if x not in known])
-        self._words([x for x in {p[1] for p in plain} if x not in known])
-        flat, starts = self.flat, self.starts
-        for c, w, marks in plain:
-            if c not in known:
-                k = known[w]
-                if marks:
-                    j = known[marks]
-                    flat.extend(flat[starts[k] : starts[k + 1]])
-                    flat.extend(flat[starts[j] : starts[j + 1]])
-                    known[c] = len(starts) - 1
-                    starts.append(len(flat))
-                else:
-                    known[c] = k
+                each = self._library(spelled)
+                self.ids.add(np.concatenate(each), np.array([len(x) for x in each]))
+            self._place(keys[some], np.arange(n, n + len(some)))
+
+    def _piece(self, texts: list[bytes]) -> list[np.ndarray]:
+        if self.spelled.n > CACHE_CHUNKS:
+            self._forget()
+        raw = np.frombuffer(b"\n".join(texts), np.uint8)
+        starts, ends, kinds = _units(raw)
+        size = ends - starts
+        # the bytes of the units, one behind another; words and marks in lower case
+        low, chars = FOLD[raw], ~SPACES[raw]
+        if (other := kinds == _OTHER).any():
+            own = np.zeros(len(raw), bool)
+            own[chars] = np.repeat(other, size)
+            low[own] = raw[own]
+        keys = np.maximum(range_hashes(low, starts, ends), np.uint64(1))
+        which = self._find(keys)
+        if len(new := np.flatnonzero(which < 0)):
+            self._learn(low.tobytes(), keys[new], starts[new], ends[new], kinds[new])
+            which[new] = self._find(keys[new])
+        if not (np.array_equal(self.spelled.sizes(which), size) and np.array_equal(self.spelled.take(which, size), low[chars])):
+            return self._texts([t.decode() for t in texts])
+        sizes = self.ids.sizes(which)
+        ids = self.ids.take(which, sizes)
+        offsets = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        edges = np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(starts, offsets)].tolist()
+        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         if self.whole:
-            return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
-        if len(self.known) > CACHE_CHUNKS:
-            self._forget()
-        get = self.known.get
-        chunks = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        if new := {c for x in chunks for c in x if c not in self.known}:
-            self._learn(list(new))
-        found = [np.array(list(map(get, x)), np.int64) for x in chunks]
-        counts = [len(x) for x in found]
-        at = np.concatenate(found) if found else np.empty(0, np.int64)
-        starts, flat = np.array(self.starts), np.frombuffer(self.flat, np.uint32) if len(self.flat) else np.empty(0, np.uint32)
-        first, size = starts[at], starts[at + 1] - starts[at]
-        ends = np.concatenate(([0], np.cumsum(size)))
-        ids = flat[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
-        edges = ends[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
-        return [ids[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+            return self._texts([t or "" for t in texts])
+        raw = [(t or "").encode() for t in texts]
+        out: list[np.ndarray] = []
+        for a, b in groups(raw):
+            if b - a == 1 and len(raw[a]) > PIECE:
+                out.append(np.concatenate([self._piece([x])[0] for x in pieces(raw[a], SPACES)]))
+            else:
+                out += self._piece(raw[a:b])
+        return out
 
 
 _ENCODERS: dict[tuple[str, bool | None], Encoder] = {}

@@ -80,6 +80,14 @@ class Words:
         return self._hash(np.minimum(self.starts + n, self.ends))
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of ranges of bytes, as they are."""
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, _U)
+    np.cumsum(_VALUES[data] * up[: len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+
+
 def pieces(text: bytes, sep: np.ndarray) -> Iterator[bytes]:
     """Pieces of one long text, cut before a separator."""
     at = 0

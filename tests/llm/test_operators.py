@@ -846,3 +846,45 @@ def test_stored_media_against_plain(spark):
         assert stack.dtype == np.uint8 and stack.shape == (len(pay) // 576, 24, 24) and stack.tobytes() == pay
         assert (got[i]["media_bytes"], got[i]["media_sha256"]) == (len(made[i]), hashlib.sha256(made[i]).hexdigest())
         assert got[i]["feature"] == plain_hash(np.frombuffer(pay, np.uint8).reshape(-1, 24)), i
+
+
+def test_encoder_knows_words_by_letters_and_marks(monkeypatch):
+    """Forms of a word with other marks and capitals are no new ones: they neither crowd out others nor are encoded anew."""
+    from itertools import product
+
+    monkeypatch.setattr(token_files, "CACHE_CHUNKS", 2000)
+    words = ["".join(x) for x in product("abcdefghij", repeat=3)]
+    texts = [" ".join(f(w) + m for w in words) for f in (str, str.upper, str.title) for m in ("", ",", "!?")]
+    e = token_files.Encoder(tokenizer())
+    first = [e.encode([t])[0].tolist() for t in texts]
+
+    class Silent:
+        def __getattr__(self, name):
+            raise AssertionError(f"{name}: all is known")
+
+    library, e.tokenizer = e.tokenizer, Silent()
+    assert [e.encode([t])[0].tolist() for t in texts] == first
+    assert first == [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def test_encoder_units(monkeypatch):
+    """Ids are the library's, whatever the marks, letters and special tokens, across pieces, and where hashes are equal."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer())
+    special = [x.content for x in t.get_added_tokens_decoder().values()]
+    texts = ["", None, " ", "\n", "A", "!", "Ab,", ",ab", "a,b", "a.b c,d e", "x \n\n y", "Ärger über Straße ÀÉ×÷ÿ ß", "é ́e É É", "İı Σας ΣΑΣ", "привет, Мир! 東京 京", "a\tb\r\nc d e", "don't I'LL 's '", "12,5% $3.00 #a &b* |", "\x00 \x1f", "ab" * 3000 + "!" * 3000, *special, *[x.upper() + " " + x.lower() for x in special], "a" + "".join(special) + "b", "🙂 a🙂b c🙂,", "É" * 40 + " é" * 40]
+    texts += [" ".join(x or "" for x in texts), "Ab, c! " * 500]
+    want = [x.ids for x in t.encode_batch_fast([x or "" for x in texts], add_special_tokens=False)]
+    for piece in (1 << 20, 97):
+        for module in ("token_files", "words"):
+            monkeypatch.setattr(f"quadrille.llm.{module}.PIECE", piece)
+        for places in (1 << 21, 1 << 11):
+            monkeypatch.setattr(token_files, "PLACES", places)
+            monkeypatch.setattr(token_files, "CACHE_CHUNKS", places // 16)
+            e = token_files.Encoder(tokenizer())
+            for _ in range(2):
+                assert [x.tolist() for x in e.encode(texts)] == want, (piece, places)
+    monkeypatch.setattr(token_files, "range_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    e = token_files.Encoder(tokenizer())
+    assert [x.tolist() for x in e.encode(texts)] == want
