@@ -7,7 +7,8 @@ import ctypes
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -78,8 +79,23 @@ def write_atomically(uri: str, chunks: Iterable[bytes]) -> int:
     return size
 
 
+_KEPT: dict[Hashable, Any] = {}
+_USED: set[Hashable] = set()
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task, until a task ends that did not ask for it: workers outlive stages and queries."""
+    _USED.add(key)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def give_back() -> None:
-    """Returns a process's free memory to the system: workers live on between stages, and their free pages count beside the JVM's."""
+    """Drops what this task did not use, and returns a process's free memory to the system: workers live on between stages, and their free pages count beside the JVM's."""
+    for key in _KEPT.keys() - _USED:
+        del _KEPT[key]
+    _USED.clear()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries have none
         ctypes.CDLL(None).malloc_trim(0)

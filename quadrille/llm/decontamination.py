@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from fractions import Fraction
 from typing import NamedTuple
 
@@ -229,31 +229,33 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[last:]])
 
 
-def _shards(items: DataFrame, id: str, text: str) -> Iterator[list[tuple[str | None, bytes]]]:
+def _shards(items: DataFrame, id: str, text: str) -> list[Callable[[], list[tuple[str | None, bytes]]]]:
     rows = items.where(F.col(text).isNotNull()).select(F.col(id).cast("string").alias("id"), F.col(text).alias("text"))
     words = rows.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))).first()[0] or 0
     n = -(-words // SHARD_WORDS) or 1
-    for k in range(n):
-        yield [(r["id"], r["text"].encode()) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toLocalIterator()]
+    return [lambda k=k: [(r["id"], r["text"].encode()) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toLocalIterator()] for k in range(n)]
 
 
-def find_hits(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """docs with n_words, hit_spans (word ranges) and hit_items (sorted as strings)."""
+def find_hits(
+    docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, item_id: str = "item_id", item_text: str = "text", then: Callable[[pa.RecordBatch], pa.RecordBatch] = lambda b: b
+) -> DataFrame:
+    """docs with n_words, hit_spans (word ranges) and hit_items (sorted as strings). `then` is done to the batches of the last pass, in its tasks."""
     spark = docs.sparkSession
     new = ("n_words", "hit_spans", "hit_items")
     out = docs.drop(*new).select("*", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<long>>").alias("hit_spans"), F.array().cast("array<string>").alias("hit_items"))
-    for k, shard in enumerate(_shards(items, item_id, item_text)):
+    shards = _shards(items, item_id, item_text)
+    for k, shard in enumerate(shards):
         if k:
             out = stored(out, "decontamination")
-        automaton = spark.sparkContext.broadcast(Automaton(shard, window))
+        automaton = spark.sparkContext.broadcast(Automaton(shard(), window))
 
-        def scan(batches: Iterator[pa.RecordBatch], automaton=automaton) -> Iterator[pa.RecordBatch]:
+        def scan(batches: Iterator[pa.RecordBatch], automaton=automaton, finish=then if k == len(shards) - 1 else lambda b: b) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 hits = list(automaton.value.scan(utf8(b.column(text))))
                 spans = [merged([*map(tuple, old), *h.spans]) for old, h in zip(b.column("hit_spans").to_pylist(), hits, strict=True)]
                 names = [sorted({*old, *h.items}) for old, h in zip(b.column("hit_items").to_pylist(), hits, strict=True)]
                 fresh = {"n_words": pa.array([h.n_words for h in hits], pa.int64()), "hit_spans": pa.array([[list(s) for s in x] for x in spans], pa.list_(pa.list_(pa.int64()))), "hit_items": pa.array(names, pa.list_(pa.string()))}
-                yield pa.RecordBatch.from_arrays([fresh.get(c, b.column(c)) for c in b.schema.names], names=b.schema.names)
+                yield finish(pa.RecordBatch.from_arrays([fresh.get(c, b.column(c)) for c in b.schema.names], names=b.schema.names))
 
         out = map_arrow(out, scan, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields))
     return out
@@ -271,17 +273,18 @@ def contaminated():
 def remove_spans(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, longest: int = 50, coverage: float = 0.05) -> DataFrame:
     """docs without rows whose hit share reaches `coverage`; from the others, spans of over `longest` words are cut."""
     share = Fraction(str(coverage))  # as floats, 0.05 * 140 is above 7
-    hits = find_hits(docs, items, text, window).where((n_hit() == 0) | (share.denominator * n_hit() < share.numerator * F.col("n_words")))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw = b.column(text).to_pylist()
-            for i, spans in enumerate(b.column("hit_spans").to_pylist()):
-                if big := [tuple(s) for s in spans if s[1] - s[0] > longest]:
-                    raw[i] = without(raw[i].encode(), big).decode()
-            yield pa.RecordBatch.from_arrays([pa.array(raw, pa.string()) if c == text else b.column(c) for c in b.schema.names], names=b.schema.names)
-
-    return map_arrow(hits, cut, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in hits.schema.fields)).select(*docs.columns)
+    least, of = share.numerator, share.denominator
+
+    def cut(b: pa.RecordBatch) -> pa.RecordBatch:
+        raw, keep = b.column(text).to_pylist(), []
+        for i, (n, spans) in enumerate(zip(b.column("n_words").to_pylist(), b.column("hit_spans").to_pylist(), strict=True)):
+            hit = sum(e - s for s, e in spans)
+            keep.append(hit == 0 or of * hit < least * n)
+            if keep[-1] and (big := [tuple(s) for s in spans if s[1] - s[0] > longest]):
+                raw[i] = without(raw[i].encode(), big).decode()
+        return pa.RecordBatch.from_arrays([pa.array(raw, pa.string()) if c == text else b.column(c) for c in b.schema.names], names=b.schema.names).filter(pa.array(keep, pa.bool_()))
+
+    return find_hits(docs, items, text, window, then=cut).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrille.llm.common import map_arrow, open_fs, shared_folder, stored, write_atomically
+from quadrille.llm.common import kept, map_arrow, open_fs, shared_folder, stored, write_atomically
 from quadrille.llm.words import FOLD, PIECE, groups, pieces, range_hashes, separators
 
 #: Fixed values of the public seekable format.
@@ -246,14 +246,9 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[tuple[str, bool | None], Encoder] = {}
-
-
 def encoder(path: str, whole: bool | None = None) -> Encoder:
     """One in each Python worker, which goes from task to task."""
-    if (path, whole) not in _ENCODERS:
-        _ENCODERS[path, whole] = Encoder(path, whole)
-    return _ENCODERS[path, whole]
+    return kept(("encoder", path, whole), lambda: Encoder(path, whole))
 
 
 def file_bytes(docs: Iterator[tuple[int | None, np.ndarray]], level: int = 3) -> tuple[list[bytes], int, int]:

@@ -888,3 +888,31 @@ def test_encoder_units(monkeypatch):
     monkeypatch.setattr(token_files, "range_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
     e = token_files.Encoder(tokenizer())
     assert [x.tolist() for x in e.encode(texts)] == want
+
+
+def test_workers_keep_what_tasks_use(spark):
+    from types import SimpleNamespace
+
+    task = lambda each: list(common.map_arrow(SimpleNamespace(sparkSession=spark, mapInArrow=lambda f, schema: f), each, "n long")(iter([])))
+    made = []
+    token = lambda batches: iter([common.kept("big", lambda: made.append(1) or len(made))])
+    other = lambda batches: iter([])
+    assert task(token) == task(token) == [1]
+    task(other)
+    assert not common._KEPT and task(token) == [2]
+    task(other)
+
+
+def test_spans_are_removed_in_the_pass_that_finds_them(spark, monkeypatch):
+    """Each text goes to one Python worker a pass, so a task holds one, not two; with one shard of items and with several."""
+    rng = random.Random(3)
+    items = [(f"i{k}", " ".join(f"q{k}x{j}" for j in range(60))) for k in range(4)]
+    filler = words(3000, rng)
+    rows = [(k, " ".join([*filler, items[k][1], *filler])) for k in range(4)] + [(9, items[0][1]), (10, ""), (11, None)]
+    docs, bench = frame(spark, rows, "doc_id long, text string"), frame(spark, items, "item_id string, text string")
+    want = {**{k: " ".join(filler) + "  " + " ".join(filler) for k in range(4)}, 10: "", 11: None}
+    for shard in (decontamination.SHARD_WORDS, 100):
+        monkeypatch.setattr(decontamination, "SHARD_WORDS", shard)
+        out = decontamination.remove_spans(docs, bench)
+        assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert {r["doc_id"]: r["text"] for r in out.collect()} == want
