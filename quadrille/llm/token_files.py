@@ -240,7 +240,8 @@ class Encoder:
         out: list[np.ndarray] = []
         for a, b in groups(raw):
             if b - a == 1 and len(raw[a]) > PIECE:
-                out.append(np.concatenate([self._piece([x])[0] for x in pieces(raw[a], SPACES)]))
+                # a piece that has nowhere to be cut is not worth remembering
+                out.append(np.concatenate([self._piece([x])[0] if len(x) <= 2 * PIECE else self._texts([x.decode()])[0] for x in pieces(raw[a], SPACES)]))
             else:
                 out += self._piece(raw[a:b])
         return out
